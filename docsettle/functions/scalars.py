@@ -14,7 +14,11 @@ TYPE_SUFFIX = r"[dDfF]\s*\z"
 NOT_FINITE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*\z"
 DATE_PREFIX = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 STRICT_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-OUTER_SPACE = r"(?U)^\s+|\s+\z"
+# white space by code point
+WHITE_SPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680\u2000\u2001\u2002\u2003"
+    "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 FIRST_NON_AMOUNT = r"(?s)^([0-9.]*)[^0-9.]"
 CURRENCY_WRAPPER = "[$₹]"
 CURRENCY_SIGN = "₹"
@@ -22,7 +26,7 @@ CURRENCY_SIGN = "₹"
 
 def trim_space(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, OUTER_SPACE, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def clean_name(name: Column) -> Column:

@@ -8,32 +8,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsettle.operators import ranges
+from docsettle.session import shared_dir
 from docsettle.sources.config import PlatformConfig
+from docsettle.sources.payloads import block_rows, payload_blocks, row_value
+from docsettle.sources.workbook import readable_rows
 
 BY_NAME, BY_POSITION, REJECTED = "by_name", "by_position", "rejected"
 
 
+def in_order(target: Sequence[str]) -> Column:
+    """The match of a block without names: its columns in their order."""
+    positions = F.sequence(F.lit(1), F.lit(len(target)))
+    return F.struct(F.lit(BY_POSITION).alias("how"), positions.alias("source"))
+
+
 def match_columns(names: Column, target: Sequence[str]) -> Column:
     """How a block with these column names fits a table, and from which positions.
 
     Known names only: by name, absent columns stay null, the last of equal names wins.
-    Unknown names but as many columns: by position. Anything else is rejected.
+    Unknown names but as many columns: by position. Anything else is rejected. Names are
+    compared without regard to case.
     """
-    table = F.array(*[F.lit(name) for name in target])
-    backwards = F.reverse(names)
+    table = F.array(*[F.lit(name.lower()) for name in target])
+    own = F.transform(names, F.lower)
+    backwards = F.reverse(own)
     by_name = F.transform(
         table,
         lambda t: F.when(
-            F.array_contains(names, t), F.size(names) - F.array_position(backwards, t) + 1
+            F.array_contains(own, t), F.size(own) - F.array_position(backwards, t) + 1
         ).cast("int"),
     )
-    in_order = F.sequence(F.lit(1), F.lit(len(target)))
-    known = F.size(F.array_except(names, table)) == 0
-    how = (
-        F.when(known, BY_NAME).when(F.size(names) == len(target), BY_POSITION).otherwise(REJECTED)
+    found = F.struct(F.lit(BY_NAME).alias("how"), by_name.alias("source"))
+    nothing = F.lit(None).cast("array<int>")
+    return (
+        F.when(F.size(F.array_except(own, table)) == 0, found)
+        .when(F.size(own) == len(target), in_order(target))
+        .otherwise(F.struct(F.lit(REJECTED).alias("how"), nothing.alias("source")))
     )
-    source = F.when(known, by_name).when(F.size(names) == len(target), in_order)
-    return F.struct(how.alias("how"), source.alias("source"))
 
 
 def project_rows(rows: DataFrame, target: Sequence[str], match: str = "match") -> DataFrame:
@@ -52,22 +63,41 @@ def first_columns(named: DataFrame) -> list[str]:
     One row of names comes to the driver; its size is bounded by a sheet's width.
     """
     first = named.agg(F.min_by("names", "document_id").alias("names")).first()
-    return list(dict.fromkeys((first["names"] if first else None) or []))
+    kept: dict[str, str] = {}
+    for name in (first["names"] if first else None) or []:
+        kept.setdefault(name.lower(), name)
+    return list(kept.values())
 
 
 def append(table: DataFrame, batch: DataFrame) -> DataFrame:
     """Append by name where the names are known, else by position at equal width."""
-    target = [name for name in table.columns]
-    if set(batch.columns) <= set(target):
+    target = table.columns
+    if {name.lower() for name in batch.columns} <= {name.lower() for name in target}:
         return table.unionByName(batch, allowMissingColumns=True)
     if len(batch.columns) == len(target):
         return table.union(batch.toDF(*target))
     raise ValueError(f"columns {batch.columns} fit neither by name nor by position")
 
 
-def land_payload_rows(named: DataFrame, target: Sequence[str]) -> DataFrame:
-    """Payload rows ``(document_id, row_no, names, vals)`` in the table's columns."""
-    return project_rows(named.withColumn("match", match_columns(F.col("names"), target)), target)
+def land_payload_blocks(
+    blocks: DataFrame, target: Sequence[str], footer: bool | None = None
+) -> DataFrame:
+    """Payload blocks ``(document_id, names, rows)`` in the table's columns.
+
+    How a block fits the table is found once per payload, not once per row.
+    """
+    matched = blocks.withColumn("match", match_columns(F.col("names"), target))
+    sources = F.transform("match.source", lambda place: F.get("names", place - 1))
+    fitting = matched.where(F.col("match.how") != REJECTED).select(
+        "document_id", sources.alias("sources"), "rows"
+    )
+    rows = block_rows(fitting)
+    if footer:
+        rows = ranges.drop_footer(rows)
+    columns = [
+        row_value(F.get("sources", F.lit(number))).alias(name) for number, name in enumerate(target)
+    ]
+    return rows.select("document_id", "row_no", *columns)
 
 
 def land_block(
@@ -85,35 +115,46 @@ def land_block(
     one = config.import_configs[position]
     window = config.window(position)
     cut = ranges.sheet_window(rows, one.sheet, window)
-    fixed = not ranges.needs_bounds(one)
-    bounds = None if fixed else ranges.import_bounds(documents, rows, config, position)
-    if fixed:
+    if ranges.needs_bounds(one):
+        bounds = ranges.block_bounds(documents, rows, config, position)
+        if not one.has_header:
+            data = _cleaned(ranges.clip(cut, bounds), config, one)
+            return _spread(data, target or one.columns or _neutral(cut, window))
+        headers = (
+            ranges.header_names(cut, bounds, window)
+            if one.is_relative
+            else ranges.first_row_names(cut, window)
+        )
+    else:
         first, last = (window.first_row, window.last_row) if window is not None else (1, None)
         data = ranges.between_rows(cut, first + one.has_header, last)
-        starts = documents.select("document_id", F.lit(first).cast("bigint").alias("first_row"))
-    else:
-        starts = bounds
-
-    if not one.has_header:
-        names = list(target or one.columns or window.column_names)
-        if not fixed:
-            data = ranges.clip(cut, bounds)
-        data = _cleaned(data, config, one)
-        return data.select("document_id", "row_no", *ranges.spread(names))
-
-    if fixed:
-        headers = ranges.header_names(cut.where(F.col("row_no") == first), starts)
-    else:
-        headers = ranges.header_names(cut, bounds)
-    names = list(target or one.columns or first_columns(headers))
+        if not one.has_header:
+            data = _cleaned(data, config, one)
+            return _spread(data, target or one.columns or _neutral(cut, window))
+        headers = ranges.first_row_names(cut, window)
+        bounds = data.groupBy("document_id").agg(F.max("row_no").alias("last_row"))
+        bounds = bounds.withColumn("first_row", F.lit(first).cast("bigint"))
+    names = list(target or one.columns or first_columns(headers) or _neutral(cut, window))
     matches = headers.select("document_id", match_columns(F.col("names"), names).alias("match"))
-    if fixed:
-        last_rows = ranges.extent(data).withColumnRenamed("max_row", "last_row")
-        bounds = last_rows.withColumn("first_row", F.lit(first).cast("bigint"))
-    data = ranges.clip(cut, bounds.join(matches, "document_id")).where("row_no > first_row")
+    facts = bounds.join(matches, "document_id", "left").withColumn(
+        "match", F.coalesce("match", in_order(names))
+    )
+    data = ranges.clip(cut, facts).where("row_no > first_row")
     return project_rows(_cleaned(data, config, one), names)
 
 
+def _neutral(cut: DataFrame, window) -> list[str]:
+    """Neutral names; without a range the widest row decides, one number for the driver."""
+    if window is not None:
+        return window.column_names
+    width = cut.agg(F.max(F.size("vals")).alias("width")).first()["width"] or 1
+    return [f"c{n}" for n in range(1, width + 1)]
+
+
+def _spread(data: DataFrame, names: Sequence[str]) -> DataFrame:
+    return data.select("document_id", "row_no", *ranges.spread(list(names)))
+
+
 def _cleaned(data: DataFrame, config: PlatformConfig, one) -> DataFrame:
     if config.uses_row_service:
         data = ranges.drop_formula_errors(data)
@@ -135,18 +176,17 @@ def land_workbooks(
 
 
 def land_payloads(
-    named: DataFrame, platform: str, config: PlatformConfig
+    payloads: DataFrame, platform: str, config: PlatformConfig
 ) -> dict[str, DataFrame]:
-    """As :func:`land_workbooks`, for payload rows with an ``import_no`` (from 0)."""
+    """As :func:`land_workbooks`, for JSON payloads with an ``import_no`` (from 0)."""
     tables: dict[str, DataFrame] = {}
     for position, one in enumerate(config.import_configs):
         name = one.table_for(platform)
-        block = named.where(F.col("import_no") == position).drop("import_no")
-        if one.footer:
-            block = ranges.drop_footer(block)
+        own = payloads.where(F.col("import_no") == position).select("document_id", "body")
+        blocks = payload_blocks(own)
         known = tables.get(name)
-        target = known.columns[2:] if known is not None else one.columns or first_columns(block)
-        landed = land_payload_rows(block, target)
+        target = known.columns[2:] if known is not None else one.columns or first_columns(blocks)
+        landed = land_payload_blocks(blocks, target, one.footer)
         tables[name] = landed if known is None else append(known, landed)
     return tables
 
@@ -164,5 +204,17 @@ def write_table(df: DataFrame, root: str, table: str, batch_id: int) -> str:
     return path
 
 
+def stage_rows(scanned: DataFrame) -> DataFrame:
+    """Scanned rows by way of a table in the shared folder.
+
+    Workbooks are decoded once, however many imports read them, and a lost executor
+    costs no second decoding. Rows of undecodable workbooks are left out.
+    """
+    spark = scanned.sparkSession
+    path = shared_dir(spark, "sheet_rows")
+    scanned.write.parquet(path)
+    return readable_rows(spark.read.parquet(path))
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{table}")

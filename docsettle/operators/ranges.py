@@ -16,8 +16,9 @@ from docsettle.sources.config import ImportConfig, PlatformConfig
 from docsettle.sources.payloads import has_formula_error
 from docsettle.sources.ranges import Range
 
-JOIN_BLOCK_ROWS = 65_536
-GAP_BLOCK_ROWS = 1_024
+JOIN_BLOCK_BITS = 16
+GAP_BLOCK_BITS = 10
+OWN_COLUMNS = ["document_id", "row_no", "batch_id"]
 
 
 def assemble_rows(cells: DataFrame) -> DataFrame:
@@ -79,11 +80,12 @@ def first_gaps(present: DataFrame) -> DataFrame:
     the block before it, so that every block can tell whether its last row has a
     successor. The least gap of all blocks is then a plain minimum.
     """
-    size = F.lit(GAP_BLOCK_ROWS)
+    size = 1 << GAP_BLOCK_BITS
     offset = F.col("row_no") - F.col("first_row")
-    block, pos = F.floor(offset / size), (offset % size).cast("int")
+    block = F.shiftright(offset, GAP_BLOCK_BITS)
+    pos = offset.bitwiseAND(F.lit(size - 1)).cast("int")
     here = F.struct(block.alias("block"), pos.alias("pos"))
-    before = F.struct((block - 1).alias("block"), size.alias("pos"))
+    before = F.struct((block - 1).alias("block"), F.lit(size).alias("pos"))
     places = F.when((pos == 0) & (block > 0), F.array(here, before)).otherwise(F.array(here))
     seen = (
         present.select("document_id", "first_row", F.explode(places).alias("at"))
@@ -110,69 +112,113 @@ def clip(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     Bounds are repeated once per block of rows they cover, so a huge document is
     spread over as many join keys as it has blocks.
     """
-    size = F.lit(JOIN_BLOCK_ROWS)
-    covered = F.sequence(F.floor(F.col("first_row") / size), F.floor(F.col("last_row") / size))
+    covered = F.sequence(
+        F.shiftright("first_row", JOIN_BLOCK_BITS), F.shiftright("last_row", JOIN_BLOCK_BITS)
+    )
     pieces = bounds.where("last_row >= first_row").withColumn("block", F.explode(covered))
     return (
-        rows.withColumn("block", F.floor(F.col("row_no") / size))
+        rows.withColumn("block", F.shiftright("row_no", JOIN_BLOCK_BITS))
         .join(pieces, ["document_id", "block"])
         .where("row_no BETWEEN first_row AND last_row")
         .drop("block")
     )
 
 
-def import_bounds(
+def _first_rows(
+    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
+) -> DataFrame:
+    """``(document_id, first_row)`` of an import, for every document."""
+    one = config.import_configs[position]
+    if not one.is_relative:
+        window = config.window(position)
+        first = F.lit(window.first_row if window is not None else 1).cast("bigint")
+        return documents.select("document_id", first.alias("first_row"))
+    relative = one.relative_range
+    ends = range_ends(documents, rows, config, relative.relative_config_index)
+    first = (F.col("end_row") + relative.rows_offset).cast("bigint")
+    return ends.select("document_id", first.alias("first_row"))
+
+
+def block_bounds(
     documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
 ) -> DataFrame:
-    """``(document_id, first_row, last_row, end_row)`` of one import, for every document.
+    """``(document_id, first_row, last_row)`` of one import.
 
-    ``first_row`` is the header row where there is one. ``last_row`` is the last row of
-    the block, before the first row for a document without one. ``end_row`` is what a
-    relative import counts from: a closed range's own end, else the last row.
+    ``first_row`` is the header row where there is one. Documents without any row at or
+    after their first row are absent; ``last_row`` may lie before ``first_row``.
     """
     one = config.import_configs[position]
     window = config.window(position)
     cut = sheet_window(rows, one.sheet, window)
-    closed = window.last_row if window is not None else None
-    literal_first = window.first_row if window is not None else 1
-
     if one.is_relative:
-        relative = one.relative_range
-        ref = import_bounds(documents, rows, config, relative.relative_config_index)
-        starts = ref.select(
-            "document_id",
-            (F.col("end_row") + relative.rows_offset).cast("bigint").alias("first_row"),
-        )
+        starts = _first_rows(documents, rows, config, position)
         limits = starts.join(extent(cut), "document_id").withColumnRenamed("max_row", "last_row")
         found = clip(cut, limits).drop("last_row")
     else:
-        starts = documents.select("document_id", F.lit(literal_first).cast("bigint").alias("first_row"))
-        found = cut.where(F.col("row_no") >= literal_first).withColumn(
-            "first_row", F.lit(literal_first).cast("bigint")
-        )
-    if closed is not None:
-        found = found.where(F.col("row_no") <= closed)
-
+        first = window.first_row if window is not None else 1
+        found = cut.where(F.col("row_no") >= first)
+        found = found.withColumn("first_row", F.lit(first).cast("bigint"))
+    if window is not None and window.last_row is not None:
+        found = found.where(F.col("row_no") <= window.last_row)
     if one.stop_at_empty:
         present = found.where(~is_blank(F.col("vals"))).select("document_id", "first_row", "row_no")
-        ends = first_gaps(present).select("document_id", (F.col("gap_row") - 1).alias("last_row"))
+        ends = first_gaps(present).withColumn("last_row", F.col("gap_row") - 1)
     else:
-        ends = extent(found).withColumnRenamed("max_row", "last_row")
-    last = F.coalesce("last_row", F.col("first_row") - 1)
-    end = F.greatest(last, "first_row") if closed is None else F.lit(closed)
-    return starts.join(ends, "document_id", "left").select(
-        "document_id",
-        "first_row",
-        last.cast("bigint").alias("last_row"),
-        end.cast("bigint").alias("end_row"),
+        ends = found.groupBy("document_id", "first_row").agg(F.max("row_no").alias("last_row"))
+    return ends.select("document_id", "first_row", F.col("last_row").cast("bigint"))
+
+
+def range_ends(
+    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
+) -> DataFrame:
+    """``(document_id, end_row)``, what a relative import counts from, for every document.
+
+    A closed range ends at its own last row. An open one ends at the last row of the
+    block, and at its first row where the block has none.
+    """
+    window = config.window(position)
+    starts = _first_rows(documents, rows, config, position)
+    if window is not None and window.last_row is not None:
+        closed = F.lit(window.last_row).cast("bigint")
+        return starts.select("document_id", closed.alias("end_row"))
+    bounds = block_bounds(documents, rows, config, position).drop("first_row")
+    end = F.greatest(F.coalesce("last_row", "first_row"), "first_row")
+    return starts.join(bounds, "document_id", "left").select("document_id", end.alias("end_row"))
+
+
+def unique_names(names: Column) -> Column:
+    """Usable column names: blanks get a neutral name, repeats and own columns a suffix."""
+    named = F.transform(
+        names,
+        lambda n, i: F.when(n == "", F.concat(F.lit("c"), (i + 1).cast("string"))).otherwise(n),
     )
 
+    def suffixed(n: Column, i: Column) -> Column:
+        same = F.filter(F.slice(named, F.lit(1), i), lambda x: F.lower(x) == F.lower(n))
+        taken = F.size(same) + F.lower(n).isin(OWN_COLUMNS).cast("int")
+        return F.when(taken > 0, F.concat_ws("_", n, taken.cast("string"))).otherwise(n)
+
+    return F.transform(named, suffixed)
+
+
+def clean_names(header: DataFrame, window: Range | None) -> DataFrame:
+    """``vals`` of header rows as clean column ``names``, as many as the window is wide."""
+    width = F.size("vals") if window is None else F.lit(window.width)
+    cells = F.transform(F.sequence(F.lit(0), width - 1), lambda n: F.get("vals", n))
+    names = F.transform(cells, lambda v: clean_name(F.coalesce(v, F.lit(""))))
+    return header.select("document_id", unique_names(names).alias("names"))
+
+
+def first_row_names(rows: DataFrame, window: Range | None) -> DataFrame:
+    """Column names per document from a literal header row, a filter that reaches the scan."""
+    first = window.first_row if window is not None else 1
+    return clean_names(rows.where(F.col("row_no") == first), window)
+
 
-def header_names(rows: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Clean column names per document, from the first row of its block."""
+def header_names(rows: DataFrame, bounds: DataFrame, window: Range | None) -> DataFrame:
+    """Column names per document, from the first row of its block; keys are single rows."""
     first = bounds.select("document_id", F.col("first_row").alias("row_no"))
-    names = F.transform("vals", lambda v: clean_name(F.coalesce(v, F.lit(""))))
-    return rows.join(first, ["document_id", "row_no"]).select("document_id", names.alias("names"))
+    return clean_names(rows.join(first, ["document_id", "row_no"]), window)
 
 
 def drop_formula_errors(rows: DataFrame) -> DataFrame:

@@ -13,70 +13,44 @@ from pyspark.sql import functions as F
 from docsettle.fixed import FORMULA_ERROR
 from docsettle.functions.scalars import clean_name
 
-_ENVELOPE = "struct<data: string, headers: array<string>>"
-
-
-def last_match(entries: Column, name: Column) -> Column:
-    """Value of the last entry with this key; null where there is none."""
-    return F.try_element_at(F.filter(entries, lambda e: e["key"] == name), F.lit(-1))["value"]
+_OBJECT = "map<string,string>"
+_PAIR = "array<variant>"
 
 
 def has_formula_error(values: Column) -> Column:
     return F.exists(values, lambda v: v.eqNullSafe(F.lit(FORMULA_ERROR)))
 
 
-def _envelopes(payloads: DataFrame) -> DataFrame:
-    """Adds ``shape`` (rows, pairs, null where unreadable), ``data`` and ``given``."""
-    body = F.ltrim(F.col("body"))
-    sound = F.try_parse_json(body).isNotNull()
-    wrapped = F.from_json(body, _ENVELOPE)
-    frame = payloads.withColumns(
-        {
-            "data": F.when(sound & body.startswith("["), body).when(
-                sound & body.startswith("{"), wrapped["data"]
-            ),
-            "given": F.when(body.startswith("{"), wrapped["headers"]),
-        }
-    )
-    items = F.try_variant_get(F.try_parse_json("data"), "$", "array<variant>")
-    kinds = F.transform(items, lambda v: F.substring(F.schema_of_variant(v), 1, 5))
-    all_rows = F.forall(kinds, lambda k: k.isin("OBJEC", "VOID"))
-    all_pairs = F.forall(kinds, lambda k: k.isin("ARRAY", "VOID"))
-    shape = F.when(all_rows, "rows").when(all_pairs & body.startswith("{"), "pairs")
-    return frame.withColumn("shape", shape)
-
-
-def _object_rows(frame: DataFrame, keys: list[str]) -> DataFrame:
-    first_keys = F.json_object_keys(F.get_json_object("data", "$[0]"))
-    names = F.when(F.size("given") > 0, F.col("given")).otherwise(first_keys)
-    ordered = F.transform(F.coalesce(names, F.array().cast("array<string>")), clean_name)
-    parsed = frame.select(
-        *keys,
-        ordered.alias("names"),
-        F.posexplode(F.from_json("data", "array<map<string,string>>")).alias("pos", "row"),
-    )
-    entries = F.transform(
-        F.map_entries(F.coalesce("row", F.create_map().cast("map<string,string>"))),
-        lambda e: F.struct(clean_name(e["key"]).alias("key"), e["value"].alias("value")),
+def _sides(entries: Column) -> Column:
+    """Keys and values from last to first, so that the first hit is the last entry."""
+    backwards = F.reverse(entries)
+    return F.struct(
+        F.transform(backwards, lambda e: e["key"]).alias("keys"),
+        F.transform(backwards, lambda e: e["value"]).alias("vals"),
     )
-    return (
-        parsed.withColumn("entries", entries)
-        .where(~has_formula_error(F.col("entries.value")))
-        .select(
-            *keys,
-            (F.col("pos") + 1).cast("bigint").alias("row_no"),
-            "names",
-            F.transform("names", lambda n: last_match(F.col("entries"), n)).alias("vals"),
+
+
+def _value_of(keys: Column, vals: Column, name: Column) -> Column:
+    return F.get(vals, F.array_position(keys, name) - 1)
+
+
+def _object_sides(objects: Column) -> Column:
+    empty = F.create_map().cast("map<string,string>")
+
+    def sides(row: Column) -> Column:
+        whole = F.coalesce(row, empty)
+        return F.struct(
+            F.transform(F.reverse(F.map_keys(whole)), clean_name).alias("keys"),
+            F.reverse(F.map_values(whole)).alias("vals"),
         )
-    )
 
+    return F.transform(objects, sides)
 
-def _pair_rows(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """One wide row per payload: the last value of a repeated key wins."""
-    items = F.try_variant_get(F.try_parse_json("data"), "$", "array<array<variant>>")
+
+def _pair_entries(pairs: Column) -> Column:
+    """Usable pairs: two elements, the first of them a text that is not blank."""
     usable = F.filter(
-        items,
-        lambda p: (F.size(p) == 2) & (F.schema_of_variant(F.get(p, F.lit(0))) == "STRING"),
+        pairs, lambda p: (F.size(p) == 2) & (F.schema_of_variant(F.get(p, F.lit(0))) == "STRING")
     )
     entries = F.transform(
         usable,
@@ -85,32 +59,105 @@ def _pair_rows(frame: DataFrame, keys: list[str]) -> DataFrame:
             F.try_variant_get(F.get(p, F.lit(1)), "$", "string").alias("value"),
         ),
     )
-    named = frame.select(
-        *keys, F.filter(entries, lambda e: F.length(e["key"]) > 0).alias("entries")
-    ).withColumn("names", F.array_distinct(F.col("entries.key")))
-    vals = F.transform("names", lambda n: last_match(F.col("entries"), n))
+    return F.filter(entries, lambda e: F.length(e["key"]) > 0)
+
+
+def _all_fit(items: Column, casted: Column, kind: str) -> Column:
+    """Whether every element has this kind; JSON nulls are let through."""
+    return ~F.exists(casted, lambda c: c.isNull()) | F.forall(
+        items, lambda v: F.is_variant_null(v) | F.try_variant_get(v, "$", kind).isNotNull()
+    )
+
+
+def _parsed(payloads: DataFrame) -> DataFrame:
+    """Adds ``objects``, ``entries`` (of pairs) and ``given`` headers, null where absent.
+
+    The body is parsed once. Numbers come out in their plain form, 2.50 as 2.5.
+    """
+    data = F.coalesce(
+        F.try_variant_get("_v", "$.data", "array<variant>"),
+        F.try_variant_get("_v", "$", "array<variant>"),
+    )
+    wrapped = F.try_variant_get("_v", "$.data", "variant").isNotNull()
     return (
-        named.withColumn("vals", vals)
-        .where(~has_formula_error(F.col("vals")))
-        .select(*keys, F.lit(1).cast("bigint").alias("row_no"), "names", "vals")
+        payloads.withColumn("_v", F.try_parse_json("body"))
+        .withColumns(
+            {
+                "_data": data,
+                "_wrapped": wrapped,
+                "given": F.try_variant_get("_v", "$.headers", "array<string>"),
+            }
+        )
+        .withColumns(
+            {
+                "_objects": F.transform("_data", lambda v: F.try_variant_get(v, "$", _OBJECT)),
+                "_pairs": F.transform("_data", lambda v: F.try_variant_get(v, "$", _PAIR)),
+            }
+        )
+        .withColumn(
+            "objects", F.when(_all_fit(F.col("_data"), F.col("_objects"), _OBJECT), F.col("_objects"))
+        )
+        .withColumn(
+            "entries",
+            F.when(
+                F.col("objects").isNull()
+                & F.col("_wrapped")
+                & _all_fit(F.col("_data"), F.col("_pairs"), _PAIR),
+                _pair_entries(F.col("_pairs")),
+            ),
+        )
+        .drop("_v", "_data", "_wrapped", "_objects", "_pairs")
     )
 
 
-def payload_rows(payloads: DataFrame) -> DataFrame:
-    """Rows of all readable payloads: the key columns, ``row_no``, ``names``, ``vals``.
+def payload_blocks(payloads: DataFrame) -> DataFrame:
+    """All readable payloads: the key columns, ``names`` and ``rows``.
 
-    Rows with a formula error are dropped. ``payloads`` has a ``body`` column; every
-    other column is carried along as a key.
+    ``names`` are the given headers, else the keys of the first row in their order. Pairs
+    make up one wide row, in which the last value of a repeated key wins. ``payloads`` has
+    a ``body`` column; every other column is carried along as a key.
     """
     keys = [name for name in payloads.columns if name != "body"]
-    frame = _envelopes(payloads)
-    objects = _object_rows(frame.where(F.col("shape") == "rows"), keys)
-    pairs = _pair_rows(frame.where(F.col("shape") == "pairs"), keys)
-    return objects.unionByName(pairs)
+    first_row = F.coalesce(
+        F.get_json_object("body", "$.data[0]"), F.get_json_object("body", "$[0]")
+    )
+    row_names = F.when(F.size("given") > 0, F.col("given")).otherwise(F.json_object_keys(first_row))
+    is_object = F.col("objects").isNotNull()
+    names = F.when(
+        is_object, F.transform(F.coalesce(row_names, F.array().cast("array<string>")), clean_name)
+    ).otherwise(F.array_distinct(F.transform("entries", lambda e: e["key"])))
+    wide = F.transform("names", lambda n: _value_of(F.col("_last.keys"), F.col("_last.vals"), n))
+    rows = F.when(is_object, _object_sides(F.col("objects"))).when(
+        F.col("entries").isNotNull(),
+        F.array(F.struct(F.col("names").alias("keys"), wide.alias("vals"))),
+    )
+    prepared = _parsed(payloads).withColumns({"names": names, "_last": _sides(F.col("entries"))})
+    return prepared.select(*keys, "names", rows.alias("rows"))
+
+
+def block_rows(blocks: DataFrame) -> DataFrame:
+    """One record per row, ``row_no`` and ``row``, without rows that hold a formula error."""
+    rest = [name for name in blocks.columns if name != "rows"]
+    present = F.coalesce("rows", F.array().cast("array<struct<keys:array<string>,vals:array<string>>>"))
+    rows = blocks.select(*rest, F.posexplode(present).alias("_pos", "row"))
+    number = (F.col("_pos") + 1).cast("bigint")
+    return rows.where(~has_formula_error(F.col("row.vals"))).select(
+        *rest, number.alias("row_no"), "row"
+    )
+
+
+def row_value(name: Column) -> Column:
+    """Value of a column of ``row`` by its clean name."""
+    return _value_of(F.col("row.keys"), F.col("row.vals"), name)
+
+
+def payload_rows(payloads: DataFrame) -> DataFrame:
+    """Rows of all readable payloads: the key columns, ``row_no``, ``names``, ``vals``."""
+    rows = block_rows(payload_blocks(payloads))
+    return rows.withColumn("vals", F.transform("names", row_value)).drop("row")
 
 
 def unreadable_payloads(payloads: DataFrame) -> DataFrame:
     """Payloads in none of the three envelopes."""
-    keys = [name for name in payloads.columns if name != "body"]
-    frame = _envelopes(payloads)
-    return frame.where(F.col("shape").isNull()).select(*keys, "body")
+    parsed = _parsed(payloads)
+    return parsed.where("objects IS NULL AND entries IS NULL").select(*payloads.columns)
