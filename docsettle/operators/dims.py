@@ -18,6 +18,7 @@ from docsettle.fixed import (
 )
 from docsettle.functions.scalars import or_default
 from docsettle.operators.lookups import lookup
+from docsettle.session import staged
 from docsettle.sources.config import tag_ids
 
 ID_BUCKET_DIGITS = 3
@@ -59,27 +60,24 @@ class Resolved:
 
 
 def new_ids(missing: DataFrame, key: str, greatest: DataFrame) -> DataFrame:
-    """Adds a dense ``id`` above the greatest one, in the order of the key's digest.
+    """Adds a dense ``id`` above the ``greatest`` one, in the order of the key's digest.
 
     The digest's first digits split the keys into even buckets of a fixed number, so
-    numbering runs in parallel; only one count per bucket is put in sequence.
+    numbering runs in parallel; only one count per bucket is put in sequence, after the
+    greatest id, which takes part as the count of a first bucket.
     """
     digest = F.md5(F.col(key))
     bucketed = missing.withColumns(
         {"_digest": digest, "_bucket": F.substring(digest, 1, ID_BUCKET_DIGITS)}
     )
     in_bucket = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", key))
-    # one row per bucket, so at most 16 ** ID_BUCKET_DIGITS rows are put in sequence
-    earlier = Window.partitionBy("_one").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    offsets = counts.withColumn("_one", F.lit(1)).select("_bucket", before.alias("_before"), "_one")
-    base = greatest.select(F.coalesce("greatest", F.lit(0)).alias("_base"), F.lit(1).alias("_one"))
-    starts = offsets.join(F.broadcast(base), "_one").select(
-        "_bucket", (F.col("_before") + F.col("_base")).alias("_start")
+    base = greatest.select(F.lit("").alias("_bucket"), F.coalesce("greatest", F.lit(0)).alias("_n"))
+    # at most 16 ** ID_BUCKET_DIGITS + 1 rows are put in sequence
+    earlier = (
+        Window.partitionBy(F.lit(1)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
+    starts = base.unionByName(counts).select("_bucket", F.sum("_n").over(earlier).alias("_start"))
     return (
         bucketed.withColumn("_rank", in_bucket)
         .join(F.broadcast(starts), "_bucket")
@@ -100,7 +98,8 @@ def get_or_create(
 
     The least id of equal names is taken. Each unknown name gets one new entry, spelled
     as in its first row by ``order``. ``candidates`` limits the entries that may match;
-    new ids stay above those of all entries.
+    new ids stay above those of all entries. The ids, one row per name, are staged as a
+    table, since the rows and the created entries both come from them.
     """
     keyed_rows = rows.withColumn("_key", F.lower(F.col(name)))
     wanted = keyed_rows.groupBy("_key").agg(
@@ -108,16 +107,27 @@ def get_or_create(
     )
     usable = dimension if candidates is None else dimension.where(candidates)
     known = usable.groupBy(F.lower("name").alias("_key")).agg(F.min("id").alias("_known"))
-    matched = wanted.join(known, "_key", "left")
-    missing = matched.where(F.col("_known").isNull() & F.col("_key").isNotNull())
-    greatest = dimension.agg(F.max("id").alias("greatest"))
-    created = new_ids(missing, "_key", greatest)
-    found = matched.where(F.col("_known").isNotNull()).select(
-        "_key", "_rows", F.col("_known").alias(id_column)
+    matched = wanted.where(F.col("_key").isNotNull()).join(known, "_key", "left")
+    fresh = new_ids(
+        matched.where(F.col("_known").isNull()),
+        "_key",
+        dimension.agg(F.max("id").cast("bigint").alias("greatest")),
+    )
+    found = matched.where(F.col("_known").isNotNull()).withColumn("id", F.col("_known"))
+    ids = staged(
+        found.unionByName(fresh).select(
+            "_key",
+            "_rows",
+            F.col("id").cast("bigint").alias(id_column),
+            F.col("_known").isNull().alias("_created"),
+            F.col("_first")[name].alias("_name"),
+        ),
+        id_column,
     )
-    ids = found.unionByName(created.select("_key", "_rows", F.col("id").alias(id_column)))
-    resolved = lookup(keyed_rows, ids, "_key", id_column, "_rows", order).drop("_key")
-    return Resolved(resolved, created.select("id", F.col("_first")[name].alias("name")))
+    keyed = ids.select("_key", "_rows", id_column)
+    resolved = lookup(keyed_rows, keyed, "_key", id_column, "_rows", order).drop("_key")
+    created = ids.where("_created").select(F.col(id_column).alias("id"), F.col("_name").alias("name"))
+    return Resolved(resolved, created)
 
 
 def get_or_create_vendors(bills: DataFrame, contacts: DataFrame, name: str = "supplier") -> Resolved:

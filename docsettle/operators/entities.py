@@ -21,6 +21,9 @@ from docsettle.functions.scalars import (
 )
 
 
+OPTIONAL_FIELDS = [fixed.INVOICE_ID, fixed.CURRENCY, fixed.NET_AMOUNT]
+
+
 def decode_entities(documents: DataFrame) -> DataFrame:
     """``raw_ocr_data`` JSON text to a typed entity list in ``entities``."""
     parsed = F.from_json("raw_ocr_data", schemas.ENTITIES)
@@ -60,7 +63,10 @@ def two_decimals(text: Column) -> Column:
 
 
 def extract_invoices(documents: DataFrame) -> DataFrame:
-    """Adds the invoice fields and ``fields``, the map of all types to their last value."""
+    """Adds the invoice fields and ``fields``, the map of all types to their last value.
+
+    Date, total and supplier are empty where the list has none, the others null.
+    """
     listed = F.transform(
         "entities",
         lambda e: F.struct(F.coalesce(e["type"], F.lit("")).alias("type"), mention_value(e).alias("value")),
@@ -83,15 +89,17 @@ def extract_invoices(documents: DataFrame) -> DataFrame:
     ).otherwise(mention_value(total))
     return frame.withColumns(
         {
-            "invoice_date": _field(fixed.INVOICE_DATE),
+            "invoice_date": F.coalesce(_last_value(fixed.INVOICE_DATE), F.lit("")),
             "total_amount": F.when(total.isNotNull(), two_decimals(raw)).otherwise(F.lit("")),
-            "supplier": _field(fixed.SUPPLIER_NAME),
+            "supplier": F.coalesce(_last_value(fixed.SUPPLIER_NAME), F.lit("")),
+            **{name: _last_value(name) for name in OPTIONAL_FIELDS},
         }
     ).drop("_listed")
 
 
-def _field(name: str) -> Column:
-    return F.coalesce(F.try_element_at(F.col("fields"), F.lit(name)), F.lit(""))
+def _last_value(name: str) -> Column:
+    entity = last_of(F.col("entities"), [name])
+    return F.when(entity.isNotNull(), mention_value(entity))
 
 
 def bill_records(
@@ -112,7 +120,7 @@ def bill_records(
     bills = invoices.select(
         "document_id",
         "contact_id",
-        _field(fixed.INVOICE_ID).alias("bill_number"),
+        F.coalesce(fixed.INVOICE_ID, F.lit("")).alias("bill_number"),
         issued.alias("issue_date"),
         due_date(issued).alias("due_date"),
         minor_units(weak_float(F.col("total_amount"))).alias("amount"),
@@ -124,13 +132,14 @@ def bill_records(
 
 
 def custom_field_values() -> dict[str, Column]:
-    """Value per source of a custom field; null where the field stays unset."""
-    has_total = F.map_contains_key("fields", F.lit(fixed.TOTAL_AMOUNT))
-    optional = [fixed.INVOICE_ID, fixed.CURRENCY, fixed.NET_AMOUNT]
+    """Value per source of a custom field; null where the field stays unset.
+
+    A total is only ever empty where the document has none.
+    """
     return {
         fixed.INVOICE_DATE: non_empty(F.col("invoice_date")),
-        fixed.TOTAL_AMOUNT: F.when(has_total, non_empty(F.col("total_amount"))),
-        **{name: F.try_element_at(F.col("fields"), F.lit(name)) for name in optional},
+        fixed.TOTAL_AMOUNT: non_empty(F.col("total_amount")),
+        **{name: F.col(name) for name in OPTIONAL_FIELDS},
     }
 
 

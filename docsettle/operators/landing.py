@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsettle.operators import ranges
-from docsettle.session import shared_dir
+from docsettle.session import staged
 from docsettle.sources.config import PlatformConfig
 from docsettle.sources.payloads import block_rows, payload_blocks, row_value
 from docsettle.sources.workbook import readable_rows
@@ -22,29 +22,25 @@ def in_order(target: Sequence[str]) -> Column:
     return F.struct(F.lit(BY_POSITION).alias("how"), positions.alias("source"))
 
 
-def match_columns(names: Column, target: Sequence[str]) -> Column:
-    """How a block with these column names fits a table, and from which positions.
+def match_columns(blocks: DataFrame, target: Sequence[str]) -> DataFrame:
+    """Adds ``match``: how a block with its ``names`` fits a table, and from which positions.
 
-    Known names only: by name, absent columns stay null, the last of equal names wins.
-    Unknown names but as many columns: by position. Anything else is rejected. Names are
-    compared without regard to case.
+    Known names only: by name, absent columns stay null. Unknown names but as many
+    columns: by position. Anything else is rejected. Names are compared without regard to
+    case.
     """
     table = F.array(*[F.lit(name.lower()) for name in target])
-    own = F.transform(names, F.lower)
-    backwards = F.reverse(own)
-    by_name = F.transform(
-        table,
-        lambda t: F.when(
-            F.array_contains(own, t), F.size(own) - F.array_position(backwards, t) + 1
-        ).cast("int"),
-    )
+    place = F.transform(table, lambda t: F.array_position("_own", t).cast("int"))
+    by_name = F.transform(place, lambda n: F.when(n > 0, n))
     found = F.struct(F.lit(BY_NAME).alias("how"), by_name.alias("source"))
     nothing = F.lit(None).cast("array<int>")
-    return (
-        F.when(F.size(F.array_except(own, table)) == 0, found)
-        .when(F.size(own) == len(target), in_order(target))
+    match = (
+        F.when(F.size(F.array_except("_own", table)) == 0, found)
+        .when(F.size("_own") == len(target), in_order(target))
         .otherwise(F.struct(F.lit(REJECTED).alias("how"), nothing.alias("source")))
     )
+    own = F.transform("names", F.lower)
+    return blocks.withColumn("_own", own).withColumn("match", match).drop("_own")
 
 
 def project_rows(rows: DataFrame, target: Sequence[str], match: str = "match") -> DataFrame:
@@ -86,7 +82,7 @@ def land_payload_blocks(
 
     How a block fits the table is found once per payload, not once per row.
     """
-    matched = blocks.withColumn("match", match_columns(F.col("names"), target))
+    matched = match_columns(blocks, target)
     sources = F.transform("match.source", lambda place: F.get("names", place - 1))
     fitting = matched.where(F.col("match.how") != REJECTED).select(
         "document_id", sources.alias("sources"), "rows"
@@ -135,7 +131,7 @@ def land_block(
         bounds = data.groupBy("document_id").agg(F.max("row_no").alias("last_row"))
         bounds = bounds.withColumn("first_row", F.lit(first).cast("bigint"))
     names = list(target or one.columns or first_columns(headers) or _neutral(cut, window))
-    matches = headers.select("document_id", match_columns(F.col("names"), names).alias("match"))
+    matches = match_columns(headers, names).select("document_id", "match")
     facts = bounds.join(matches, "document_id", "left").withColumn(
         "match", F.coalesce("match", in_order(names))
     )
@@ -210,10 +206,7 @@ def stage_rows(scanned: DataFrame) -> DataFrame:
     Workbooks are decoded once, however many imports read them, and a lost executor
     costs no second decoding. Rows of undecodable workbooks are left out.
     """
-    spark = scanned.sparkSession
-    path = shared_dir(spark, "sheet_rows")
-    scanned.write.parquet(path)
-    return readable_rows(spark.read.parquet(path))
+    return readable_rows(staged(scanned, "sheet_rows"))
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

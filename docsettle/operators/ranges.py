@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsettle.functions.scalars import clean_name
+from docsettle.functions.scalars import clean_name, or_default
 from docsettle.sources.config import ImportConfig, PlatformConfig
 from docsettle.sources.payloads import has_formula_error
 from docsettle.sources.ranges import Range
@@ -186,27 +186,36 @@ def range_ends(
     return starts.join(bounds, "document_id", "left").select("document_id", end.alias("end_row"))
 
 
-def unique_names(names: Column) -> Column:
-    """Usable column names: blanks get a neutral name, repeats and own columns a suffix."""
-    named = F.transform(
-        names,
-        lambda n, i: F.when(n == "", F.concat(F.lit("c"), (i + 1).cast("string"))).otherwise(n),
-    )
+def clean_names(header: DataFrame, window: Range | None) -> DataFrame:
+    """``vals`` of header rows as usable column ``names``, as many as the window is wide.
 
-    def suffixed(n: Column, i: Column) -> Column:
-        same = F.filter(F.slice(named, F.lit(1), i), lambda x: F.lower(x) == F.lower(n))
-        taken = F.size(same) + F.lower(n).isin(OWN_COLUMNS).cast("int")
-        return F.when(taken > 0, F.concat_ws("_", n, taken.cast("string"))).otherwise(n)
+    Blanks get a neutral name; repeats and the landing table's own names get a suffix.
+    """
+    width = F.size("vals") if window is None else F.lit(window.width)
+    cells = F.transform(F.sequence(F.lit(0), width - 1), lambda n: F.get("vals", n))
 
-    return F.transform(named, suffixed)
+    def named(value: Column, place: Column) -> Column:
+        neutral = F.concat(F.lit("c"), (place + 1).cast("string"))
+        return or_default(clean_name(value), neutral)
 
+    def suffixed(name: Column, place: Column) -> Column:
+        key = F.get("_keys", place)
+        same = F.filter(F.slice("_keys", F.lit(1), place), lambda other: other == key)
+        taken = F.size(same) + key.isin(OWN_COLUMNS).cast("int")
+        return F.when(taken > 0, F.concat_ws("_", name, taken.cast("string"))).otherwise(name)
 
-def clean_names(header: DataFrame, window: Range | None) -> DataFrame:
-    """``vals`` of header rows as clean column ``names``, as many as the window is wide."""
-    width = F.size("vals") if window is None else F.lit(window.width)
-    cells = F.transform(F.sequence(F.lit(0), width - 1), lambda n: F.get("vals", n))
-    names = F.transform(cells, lambda v: clean_name(F.coalesce(v, F.lit(""))))
-    return header.select("document_id", unique_names(names).alias("names"))
+    own = F.array(*map(F.lit, OWN_COLUMNS))
+    distinct = F.size(F.array_distinct("_keys")) == F.size("_keys")
+    usable = distinct & ~F.arrays_overlap("_keys", own)
+    return (
+        header.select("document_id", F.transform(cells, named).alias("_named"))
+        .withColumn("_keys", F.transform("_named", F.lower))
+        .withColumn(
+            "names",
+            F.when(usable, F.col("_named")).otherwise(F.transform("_named", suffixed)),
+        )
+        .select("document_id", "names")
+    )
 
 
 def first_row_names(rows: DataFrame, window: Range | None) -> DataFrame:

@@ -8,6 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from docsettle.operators import dims, entities, ledger
+from docsettle.session import staged
+
+EXTRACTED = [
+    "document_id",
+    "file_name",
+    "doc_url",
+    "supplier",
+    "invoice_date",
+    "total_amount",
+    *entities.OPTIONAL_FIELDS,
+]
 
 
 @dataclass(frozen=True)
@@ -29,27 +40,23 @@ def run_bills(
     created_at: Column,
     archive: str = "archive",
 ) -> Bills:
-    """``documents`` has the columns of the entity documents, JSON entities included."""
-    invoices = entities.extract_invoices(entities.decode_entities(documents)).drop("entities")
-    vendors = dims.get_or_create_vendors(
-        invoices.select(
-            "document_id", "file_name", "doc_url", "supplier", "invoice_date", "total_amount", "fields"
-        ),
-        contacts,
-    )
+    """``documents`` has the columns of the entity documents, JSON entities included.
+
+    The entity lists are decoded once for bills and updates; what is staged are the few
+    short fields read from them, not the lists or texts.
+    """
+    invoices = entities.extract_invoices(entities.decode_entities(documents))
+    fields_read = staged(invoices.select(*EXTRACTED), "invoices")
+    vendors = dims.get_or_create_vendors(fields_read, contacts)
     bills, skipped = entities.bill_records(vendors.rows, as_of, archive)
-    named = dims.get_or_create_correspondents(
-        invoices.select(
-            "document_id", "text", "supplier", "invoice_date", "total_amount", "fields"
-        ),
-        correspondents,
-    )
+    named = dims.get_or_create_correspondents(fields_read, correspondents)
+    with_text = named.rows.join(documents.select("document_id", "text"), "document_id")
     bound = dims.bind_custom_fields(entities.custom_field_values(), fields)
     return Bills(
         bills,
         skipped,
         vendors.created,
         named.created,
-        entities.document_updates(named.rows, bound),
+        entities.document_updates(with_text, bound),
         ledger.bill_ledger(invoices, created_at),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsettle.operators import dims, entities, ledger
+from docsettle.session import staged
 
 
 @dataclass(frozen=True)
@@ -24,16 +25,16 @@ def run_statements(
 ) -> Statements:
     """Accounts are resolved per document, before its items are taken apart.
 
+    Only the banks' names are staged for that; the join back is between single documents.
+
     A document without any transaction gets no account.
     """
-    decoded = entities.bank_names(entities.decode_entities(documents))
-    owners = dims.get_or_create_accounts(
-        decoded.where(entities.has_transactions(F.col("entities"))).select(
-            "document_id", "bank_name", "entities"
-        ),
-        accounts,
-    )
-    found = entities.extract_transactions(owners.rows, "account_id")
+    decoded = entities.decode_entities(documents)
+    owned = decoded.where(entities.has_transactions(F.col("entities")))
+    banks = staged(entities.bank_names(owned).select("document_id", "bank_name"), "banks")
+    owners = dims.get_or_create_accounts(banks, accounts)
+    with_account = decoded.join(owners.rows.select("document_id", "account_id"), "document_id")
+    found = entities.extract_transactions(with_account, "account_id")
     return Statements(
         entities.transaction_records(found, as_of),
         owners.created,
