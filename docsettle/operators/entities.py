@@ -82,11 +82,15 @@ def extract_invoices(documents: DataFrame) -> DataFrame:
             )
         ),
     )
-    total = last_of(F.col("entities"), [fixed.TOTAL_AMOUNT])
+    total = F.col(f"_{fixed.TOTAL_AMOUNT}")
     raw = F.when(
         total["normalized_value"].isNotNull(),
         F.coalesce(total["normalized_value"]["text"], F.lit("")),
     ).otherwise(mention_value(total))
+    chosen = [fixed.INVOICE_DATE, fixed.TOTAL_AMOUNT, fixed.SUPPLIER_NAME, *OPTIONAL_FIELDS]
+    frame = frame.withColumns(
+        {f"_{name}": last_of(F.col("entities"), [name]) for name in chosen}
+    )
     return frame.withColumns(
         {
             "invoice_date": F.coalesce(_last_value(fixed.INVOICE_DATE), F.lit("")),
@@ -94,11 +98,11 @@ def extract_invoices(documents: DataFrame) -> DataFrame:
             "supplier": F.coalesce(_last_value(fixed.SUPPLIER_NAME), F.lit("")),
             **{name: _last_value(name) for name in OPTIONAL_FIELDS},
         }
-    ).drop("_listed")
+    ).drop("_listed", *[f"_{name}" for name in chosen])
 
 
 def _last_value(name: str) -> Column:
-    entity = last_of(F.col("entities"), [name])
+    entity = F.col(f"_{name}")
     return F.when(entity.isNotNull(), mention_value(entity))
 
 

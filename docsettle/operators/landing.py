@@ -11,6 +11,7 @@ from docsettle.operators import ranges
 from docsettle.session import staged
 from docsettle.sources.config import PlatformConfig
 from docsettle.sources.payloads import block_rows, payload_blocks, row_value
+from docsettle.sources.ranges import Range
 from docsettle.sources.workbook import readable_rows
 
 BY_NAME, BY_POSITION, REJECTED = "by_name", "by_position", "rejected"
@@ -53,16 +54,35 @@ def project_rows(rows: DataFrame, target: Sequence[str], match: str = "match") -
     return fitting.select("document_id", "row_no", *columns)
 
 
-def first_columns(named: DataFrame) -> list[str]:
+def first_columns(headers: DataFrame, window: Range | None) -> list[str]:
     """Column names of the first document, which decide the table's columns.
 
-    One row of names comes to the driver; its size is bounded by a sheet's width.
+    One header row comes to the driver; its size is bounded by a sheet's width.
     """
-    first = named.agg(F.min_by("names", "document_id").alias("names")).first()
-    kept: dict[str, str] = {}
-    for name in (first["names"] if first else None) or []:
-        kept.setdefault(name.lower(), name)
-    return list(kept.values())
+    first = headers.agg(
+        F.min("document_id").alias("document_id"), F.min_by("vals", "document_id").alias("vals")
+    ).where(F.col("document_id").isNotNull())
+    found = ranges.clean_names(first, window).first()
+    return list(found["names"]) if found else []
+
+
+def first_payload_columns(payloads: DataFrame) -> list[str]:
+    """As :func:`first_columns`: the names of the first payload that has any.
+
+    Mostly that is the first payload, so only its body is parsed for it.
+    """
+    first = payloads.agg(
+        F.min("document_id").alias("document_id"), F.min_by("body", "document_id").alias("body")
+    )
+    for candidates in (first, payloads):
+        named = payload_blocks(candidates).where(F.size("names") > 0)
+        found = named.agg(F.min_by("names", "document_id").alias("names")).first()
+        if found and found["names"]:
+            kept: dict[str, str] = {}
+            for name in found["names"]:
+                kept.setdefault(name.lower(), name)
+            return list(kept.values())
+    return []
 
 
 def append(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -84,10 +104,9 @@ def land_payload_blocks(
     """
     matched = match_columns(blocks, target)
     sources = F.transform("match.source", lambda place: F.get("names", place - 1))
-    fitting = matched.where(F.col("match.how") != REJECTED).select(
-        "document_id", sources.alias("sources"), "rows"
-    )
-    rows = block_rows(fitting)
+    # no rows instead of a filter, which would parse every body a second time
+    kept = F.when(F.col("match.how") != REJECTED, F.col("rows"))
+    rows = block_rows(matched.select("document_id", sources.alias("sources"), kept.alias("rows")))
     if footer:
         rows = ranges.drop_footer(rows)
     columns = [
@@ -117,9 +136,9 @@ def land_block(
             data = _cleaned(ranges.clip(cut, bounds), config, one)
             return _spread(data, target or one.columns or _neutral(cut, window))
         headers = (
-            ranges.header_names(cut, bounds, window)
+            ranges.relative_header_rows(cut, bounds)
             if one.is_relative
-            else ranges.first_row_names(cut, window)
+            else ranges.literal_header_rows(cut, window)
         )
     else:
         first, last = (window.first_row, window.last_row) if window is not None else (1, None)
@@ -127,11 +146,12 @@ def land_block(
         if not one.has_header:
             data = _cleaned(data, config, one)
             return _spread(data, target or one.columns or _neutral(cut, window))
-        headers = ranges.first_row_names(cut, window)
+        headers = ranges.literal_header_rows(cut, window)
         bounds = data.groupBy("document_id").agg(F.max("row_no").alias("last_row"))
         bounds = bounds.withColumn("first_row", F.lit(first).cast("bigint"))
-    names = list(target or one.columns or first_columns(headers) or _neutral(cut, window))
-    matches = match_columns(headers, names).select("document_id", "match")
+    names = list(target or one.columns or first_columns(headers, window) or _neutral(cut, window))
+    named = ranges.clean_names(headers, window)
+    matches = match_columns(named, names).select("document_id", "match")
     facts = bounds.join(matches, "document_id", "left").withColumn(
         "match", F.coalesce("match", in_order(names))
     )
@@ -179,10 +199,10 @@ def land_payloads(
     for position, one in enumerate(config.import_configs):
         name = one.table_for(platform)
         own = payloads.where(F.col("import_no") == position).select("document_id", "body")
-        blocks = payload_blocks(own)
         known = tables.get(name)
-        target = known.columns[2:] if known is not None else one.columns or first_columns(blocks)
-        landed = land_payload_blocks(blocks, target, one.footer)
+        target = known.columns[2:] if known is not None else one.columns
+        target = target or first_payload_columns(own)
+        landed = land_payload_blocks(payload_blocks(own), target, one.footer)
         tables[name] = landed if known is None else append(known, landed)
     return tables
 

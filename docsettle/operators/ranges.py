@@ -218,16 +218,16 @@ def clean_names(header: DataFrame, window: Range | None) -> DataFrame:
     )
 
 
-def first_row_names(rows: DataFrame, window: Range | None) -> DataFrame:
-    """Column names per document from a literal header row, a filter that reaches the scan."""
+def literal_header_rows(rows: DataFrame, window: Range | None) -> DataFrame:
+    """Header row per document at a literal place, a filter that reaches the scan."""
     first = window.first_row if window is not None else 1
-    return clean_names(rows.where(F.col("row_no") == first), window)
+    return rows.where(F.col("row_no") == first).select("document_id", "vals")
 
 
-def header_names(rows: DataFrame, bounds: DataFrame, window: Range | None) -> DataFrame:
-    """Column names per document, from the first row of its block; keys are single rows."""
+def relative_header_rows(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Header row per document at the start of its block; the join keys are single rows."""
     first = bounds.select("document_id", F.col("first_row").alias("row_no"))
-    return clean_names(rows.join(first, ["document_id", "row_no"]), window)
+    return rows.join(first, ["document_id", "row_no"]).select("document_id", "vals")
 
 
 def drop_formula_errors(rows: DataFrame) -> DataFrame:

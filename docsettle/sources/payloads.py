@@ -78,35 +78,28 @@ def _parsed(payloads: DataFrame) -> DataFrame:
         F.try_variant_get("_v", "$.data", "array<variant>"),
         F.try_variant_get("_v", "$", "array<variant>"),
     )
-    wrapped = F.try_variant_get("_v", "$.data", "variant").isNotNull()
+    objects, pairs = F.col("_objects"), F.col("_pairs")
+    fitting_objects = F.when(_all_fit(F.col("_data"), objects, _OBJECT), objects)
+    fitting_pairs = F.when(_all_fit(F.col("_data"), pairs, _PAIR), _pair_entries(pairs))
+    bare = F.ltrim("body").startswith("[")
     return (
         payloads.withColumn("_v", F.try_parse_json("body"))
         .withColumns(
-            {
-                "_data": data,
-                "_wrapped": wrapped,
-                "given": F.try_variant_get("_v", "$.headers", "array<string>"),
-            }
-        )
-        .withColumns(
-            {
-                "_objects": F.transform("_data", lambda v: F.try_variant_get(v, "$", _OBJECT)),
-                "_pairs": F.transform("_data", lambda v: F.try_variant_get(v, "$", _PAIR)),
-            }
+            {"_data": data, "given": F.try_variant_get("_v", "$.headers", "array<string>")}
         )
         .withColumn(
-            "objects", F.when(_all_fit(F.col("_data"), F.col("_objects"), _OBJECT), F.col("_objects"))
+            "_objects", F.transform("_data", lambda v: F.try_variant_get(v, "$", _OBJECT))
         )
+        .withColumn("objects", fitting_objects)
         .withColumn(
-            "entries",
+            "_pairs",
             F.when(
-                F.col("objects").isNull()
-                & F.col("_wrapped")
-                & _all_fit(F.col("_data"), F.col("_pairs"), _PAIR),
-                _pair_entries(F.col("_pairs")),
+                F.col("objects").isNull() & ~bare,
+                F.transform("_data", lambda v: F.try_variant_get(v, "$", _PAIR)),
             ),
         )
-        .drop("_v", "_data", "_wrapped", "_objects", "_pairs")
+        .withColumn("entries", fitting_pairs)
+        .drop("_v", "_data", "_objects", "_pairs")
     )
 
 
