@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,11 @@ def build_session(app_name: str = "docsettle", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@lru_cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"docsettle-{application_id}-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -37,8 +43,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="docsettle-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
