@@ -15,7 +15,12 @@ from docsettle.fixed import (
     SETTLEMENT_ORDER,
     SETTLEMENT_TEXT,
 )
-from docsettle.functions.expressions import NamedExpression, register_sql_functions, to_column
+from docsettle.functions.expressions import (
+    NamedExpression,
+    register_sql_functions,
+    resolve_positions,
+    to_column,
+)
 from docsettle.functions.scalars import strict_number
 from docsettle.sources.config import ExportConfig
 
@@ -28,26 +33,55 @@ def positions(landing: DataFrame) -> list[str]:
     return [name for name in landing.columns if name not in ("row_no", "batch_id")]
 
 
-def _aggregate_or_first(landing: DataFrame, columns: list[Column]) -> list[Column]:
-    """The columns as aggregates; plain ones are taken from the document's first row.
-
-    Only the analyser is asked here, no job runs.
-    """
+def _is_aggregate(landing: DataFrame, columns: list[Column]) -> bool:
+    """Whether the columns hold per document. Only the analyser is asked, no job runs."""
     try:
         landing.groupBy("document_id").agg(*columns).schema  # noqa: B018
-        return columns
     except AnalysisException:
-        names = landing.select(*columns).columns
-        first = F.min(F.struct("row_no", *columns))
-        return [first[name].alias(name) for name in names]
+        landing.select(*columns).schema  # noqa: B018
+        return False
+    return True
 
 
-def evaluate(landing: DataFrame, readers: Sequence[NamedExpression]) -> DataFrame:
-    """Named expressions per document: aggregates, or values of the first row."""
+def _mentioned(names: Sequence[str], texts: Sequence[str]) -> list[str]:
+    """The columns whose name occurs in any of the texts, which are all that they can read."""
+    whole = " ".join(texts).lower()
+    return [name for name in names if name.replace("`", "``").lower() in whole]
+
+
+def _evaluate_groups(landing: DataFrame, groups: Sequence[Sequence[NamedExpression]]) -> DataFrame:
+    """All groups of expressions in one aggregation per document.
+
+    A group of plain expressions is evaluated on the document's first row only, after
+    the aggregation has found it.
+    """
     register_sql_functions(landing.sparkSession)
     names = positions(landing)
-    columns = [to_column(one.expression, names).alias(one.column_name) for one in readers]
-    return landing.groupBy("document_id").agg(*_aggregate_or_first(landing, columns))
+    aggregates: list[Column] = []
+    done, plain = ["document_id"], []
+    for number, readers in enumerate(groups):
+        columns = [to_column(one.expression, names).alias(one.column_name) for one in readers]
+        if _is_aggregate(landing, columns):
+            aggregates += columns
+            done += [one.column_name for one in readers]
+            continue
+        texts = [resolve_positions(one.expression, names) for one in readers]
+        used = [F.col(f"`{n.replace('`', '``')}`") for n in _mentioned(names[1:], texts)]
+        aggregates.append(F.min(F.struct("row_no", *used)).alias(f"_first{number}"))
+        plain.append((number, readers, columns))
+    result = landing.groupBy("document_id").agg(*aggregates)
+    for number, readers, columns in plain:
+        waiting = [f"_first{later}" for later, *_ in plain if later > number]
+        result = result.select(*done, *waiting, f"_first{number}.*").select(
+            *done, *waiting, *columns
+        )
+        done += [one.column_name for one in readers]
+    return result
+
+
+def evaluate(landing: DataFrame, readers: Sequence[NamedExpression]) -> DataFrame:
+    """Named expressions per document: aggregates, or values of the first row."""
+    return _evaluate_groups(landing, [readers])
 
 
 def _typed(name: str, column: Column, data_type: T.DataType) -> Column:
@@ -83,7 +117,9 @@ def merge_exports(
     for table, readers in by_table.items():
         numbers = list(dict.fromkeys(number for number, _ in readers))
         merged = merged.join(
-            _evaluate_all(landings[table], [[r for n, r in readers if n == k] for k in numbers]),
+            _evaluate_groups(
+                landings[table], [[r for n, r in readers if n == k] for k in numbers]
+            ),
             "document_id",
             "left",
         )
@@ -98,16 +134,6 @@ def merge_exports(
     return merged.select("document_id", *fields)
 
 
-def _evaluate_all(landing: DataFrame, groups: list[list[NamedExpression]]) -> DataFrame:
-    register_sql_functions(landing.sparkSession)
-    names = positions(landing)
-    columns: list[Column] = []
-    for readers in groups:
-        wanted = [to_column(one.expression, names).alias(one.column_name) for one in readers]
-        columns += _aggregate_or_first(landing, wanted)
-    return landing.groupBy("document_id").agg(*columns)
-
-
 def finalise(
     settled: DataFrame, platform: str, outlet_name: str, digits: int | None = None
 ) -> DataFrame:
