@@ -58,12 +58,14 @@ _VENDORS = """
                            WHEN o_orderkey % 2 = 0 THEN upper(format('Customer#{:09d}', o_custkey))
                            ELSE format('Customer#{:09d}', o_custkey) END AS name
                FROM orders),
-         dim AS (SELECT c_custkey + 10 AS id, c_name AS name,
+         dim AS (SELECT c_custkey + 10 AS id,
+                        CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'Other ' || c_custkey END AS name,
                         CASE WHEN c_custkey % 3 = 0 THEN 'customer' ELSE 'vendor' END AS type
-                 FROM customer WHERE c_custkey % 2 = 0
+                 FROM customer
                  UNION ALL
-                 SELECT c_custkey + 5, lower(c_name), 'vendor'
-                 FROM customer WHERE c_custkey % 4 = 0),
+                 SELECT c_custkey + 5, CASE WHEN c_custkey % 4 = 0 THEN lower(c_name)
+                                            ELSE 'other ' || c_custkey END, 'vendor'
+                 FROM customer),
          known AS (SELECT lower(name) AS k, min(id) AS id FROM dim WHERE type = 'vendor' GROUP BY 1),
          keys AS (SELECT lower(name) AS k, arg_min(name, d) AS name FROM w GROUP BY 1),
          fresh AS (SELECT keys.k, keys.name, (SELECT max(id) FROM dim)
@@ -73,22 +75,26 @@ _VENDORS = """
 
 
 def vendor_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders as bills by vendor name in varying case, and a half-filled dimension."""
+    """Orders as bills by vendor name in varying case, and contacts that lack half of them."""
     name = F.format_string("Customer#%09d", "o_custkey")
     number = F.col("o_orderkey")
     supplier = F.when(number % 50 == 0, "").when(number % 2 == 0, F.upper(name)).otherwise(name)
     bills = table(spark, sf_dir, "orders").select(
         number.alias("document_id"), supplier.alias("supplier")
     )
-    customers = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    first = customers.where(key % 2 == 0).select(
+    customers, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    other = key.cast("string")
+    first = customers.select(
         (key + 10).alias("id"),
-        F.col("c_name").alias("name"),
+        F.when(key % 2 == 0, F.col("c_name")).otherwise(F.concat(F.lit("Other "), other)).alias("name"),
         F.when(key % 3 == 0, "customer").otherwise("vendor").alias("type"),
     )
-    second = customers.where(key % 4 == 0).select(
-        (key + 5).alias("id"), F.lower("c_name").alias("name"), F.lit("vendor").alias("type")
+    second = customers.select(
+        (key + 5).alias("id"),
+        F.when(key % 4 == 0, F.lower("c_name"))
+        .otherwise(F.concat(F.lit("other "), other))
+        .alias("name"),
+        F.lit("vendor").alias("type"),
     )
     return bills, first.unionByName(second)
 

@@ -116,14 +116,15 @@ def invoice_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bill_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Contacts, correspondents and custom fields, as made from customers and regions."""
-    customers = table(spark, sf_dir, "customer")
-    name = F.concat(F.lit("VENDOR "), F.col("c_custkey").cast("string"))
-    known = customers.where(F.col("c_custkey") % 2 == 0)
-    contacts = known.select(
-        F.col("c_custkey").alias("id"), name.alias("name"), F.lit("vendor").alias("type")
-    )
-    correspondents = known.select((F.col("c_custkey") + 7).alias("id"), name.alias("name"))
+    """Contacts, correspondents and custom fields, as made from customers and regions.
+
+    Every second customer has a name no invoice bears.
+    """
+    customers, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    prefix = F.when(key % 2 == 0, "VENDOR ").otherwise("Other ")
+    name = F.concat(prefix, key.cast("string"))
+    contacts = customers.select(key.alias("id"), name.alias("name"), F.lit("vendor").alias("type"))
+    correspondents = customers.select((key + 7).alias("id"), name.alias("name"))
     names = ["Invoice Date", "Total", "Invoice Number", "Currency", "Net Amount"]
     listed = F.array(*map(F.lit, names))
     fields = table(spark, sf_dir, "region").select(
@@ -140,8 +141,8 @@ _BILLS = (
                       THEN CAST(trunc(CAST(total_amount AS DOUBLE) * 100) AS BIGINT)
                       ELSE 0 END AS amount
           FROM r),
-    known AS (SELECT lower('VENDOR ' || c_custkey) AS k, c_custkey AS id
-              FROM customer WHERE c_custkey % 2 = 0),
+    known AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'vendor ' ELSE 'other ' END || c_custkey AS k,
+                     c_custkey AS id FROM customer),
     keys AS (SELECT DISTINCT lower(vendor) AS k FROM v),
     fresh AS (SELECT keys.k, (SELECT max(id) FROM known)
                      + row_number() OVER (ORDER BY md5(keys.k), keys.k) AS id
@@ -177,8 +178,8 @@ def bills_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     "correspondent_and_fields",
     _INVOICES
     + """,
-    known AS (SELECT lower('VENDOR ' || c_custkey) AS k, c_custkey + 7 AS id
-              FROM customer WHERE c_custkey % 2 = 0),
+    known AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'vendor ' ELSE 'other ' END || c_custkey AS k,
+                     c_custkey + 7 AS id FROM customer),
     keys AS (SELECT DISTINCT lower(supplier) AS k FROM r WHERE supplier <> ''),
     fresh AS (SELECT keys.k, (SELECT max(id) FROM known)
                      + row_number() OVER (ORDER BY md5(keys.k), keys.k) AS id
