@@ -121,11 +121,11 @@ def land_block(
     config: PlatformConfig,
     position: int,
     target: Sequence[str] | None = None,
-) -> DataFrame:
+) -> DataFrame | None:
     """Landing rows of one import, for all documents at once.
 
     Without ``target`` the columns are those the configuration declares, else the
-    first document's header, else neutral names.
+    first document's header. Where no document has the block there is nothing to land.
     """
     one = config.import_configs[position]
     window = config.window(position)
@@ -149,7 +149,11 @@ def land_block(
         headers = ranges.literal_header_rows(cut, window)
         bounds = data.groupBy("document_id").agg(F.max("row_no").alias("last_row"))
         bounds = bounds.withColumn("first_row", F.lit(first).cast("bigint"))
-    names = list(target or one.columns or first_columns(headers, window) or _neutral(cut, window))
+    names = list(target or one.columns or first_columns(headers, window))
+    if not names:
+        if not data_rows(cut, one, window).limit(1).count():
+            return None
+        names = _neutral(cut, window)
     named = ranges.clean_names(headers, window)
     matches = match_columns(named, names).select("document_id", "match")
     facts = bounds.join(matches, "document_id", "left").withColumn(
@@ -159,6 +163,12 @@ def land_block(
     return project_rows(_cleaned(data, config, one), names)
 
 
+def data_rows(cut: DataFrame, one, window: Range | None) -> DataFrame:
+    """Rows that may belong to a block, wherever it starts."""
+    first = window.first_row if window is not None and not one.is_relative else 1
+    return ranges.between_rows(cut, first, None)
+
+
 def _neutral(cut: DataFrame, window) -> list[str]:
     """Neutral names; without a range the widest row decides, one number for the driver."""
     if window is not None:
@@ -180,13 +190,18 @@ def _cleaned(data: DataFrame, config: PlatformConfig, one) -> DataFrame:
 def land_workbooks(
     documents: DataFrame, rows: DataFrame, platform: str, config: PlatformConfig
 ) -> dict[str, DataFrame]:
-    """All landing tables of a platform. Imports of one table are appended in order."""
+    """All landing tables of a platform. Imports of one table are appended in order.
+
+    A table none of whose blocks exists in any document is not created.
+    """
     tables: dict[str, DataFrame] = {}
     for position, one in enumerate(config.import_configs):
         name = one.table_for(platform)
         known = tables.get(name)
         target = None if known is None else known.columns[2:]
         block = land_block(documents, rows, config, position, target)
+        if block is None:
+            continue
         tables[name] = block if known is None else append(known, block)
     return tables
 
@@ -202,6 +217,8 @@ def land_payloads(
         known = tables.get(name)
         target = known.columns[2:] if known is not None else one.columns
         target = target or first_payload_columns(own)
+        if not target:
+            continue
         landed = land_payload_blocks(payload_blocks(own), target, one.footer)
         tables[name] = landed if known is None else append(known, landed)
     return tables

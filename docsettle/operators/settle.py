@@ -99,11 +99,14 @@ def merge_exports(
     """All exports of a platform in one row per document.
 
     Exports over one table share one aggregation. A later export overwrites an earlier
-    one unless its value is null; fields no export fills are 0 or empty.
+    one unless its value is null; fields no export fills are 0 or empty. A table that was
+    not created, as no document has its block, fills nothing.
     """
     by_table: dict[str, list[tuple[str, NamedExpression]]] = {}
     order: dict[str, list[str]] = {name: [] for name in _FIELDS}
     for number, export in enumerate(exports):
+        if export.table_name not in landings:
+            continue
         for place, reader in enumerate(export.reader_configs):
             field = _BY_KEY.get(reader.column_name.replace("_", "").lower())
             if field is None:

@@ -103,6 +103,13 @@ class PlatformConfig:
             return window
         return one.parsed_range
 
+    def check_exports(self, platform: str) -> None:
+        """Every export must read a table that some import fills."""
+        read = {one.table_name for one in self.export_configs if one.reader_configs}
+        unknown = read - set(self.tables(platform))
+        if unknown:
+            raise ValueError(f"no import of {platform} fills {sorted(unknown)}")
+
     def tables(self, platform: str) -> list[str]:
         return list(dict.fromkeys(one.table_for(platform) for one in self.import_configs))
 
