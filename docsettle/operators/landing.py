@@ -238,13 +238,14 @@ def write_table(df: DataFrame, root: str, table: str, batch_id: int) -> str:
 
 
 def stage_rows(scanned: DataFrame) -> DataFrame:
-    """Scanned rows by way of a table in the shared folder, with a partition per sheet.
+    """Scanned rows by way of a table in the shared folder, partitioned by platform and sheet.
 
     Workbooks are decoded once, however many imports read them, each import reads the
     files of its own sheet only, and a lost executor costs no second decoding. Rows of
     undecodable workbooks are left out; the join for that is only made where there are any.
     """
-    rows = staged(scanned, "sheet_rows", "sheet")
+    parts = [name for name in ("platform", "sheet") if name in scanned.columns]
+    rows = staged(scanned, "sheet_rows", *parts)
     if rows.where(F.col("error").isNotNull()).limit(1).count():
         return readable_rows(rows)
     return rows.drop("error")

@@ -49,12 +49,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The same rows by way of a table in the shared folder.
 
     What several results are made of is computed once and survives the loss of executors.
     """
     path = shared_dir(df.sparkSession, name)
-    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,3 +28,29 @@ def test_query(spark, oracle, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "relative_range",
+        "footer_drop",
+        "payout_shipped_orders",
+        "payout_merge_exports",
+        "vendor_get_or_create",
+        "ledger_antijoin",
+        "bill_records",
+        "statement_flow",
+    ],
+)
+def test_without_automatic_broadcasts(spark, oracle, name):
+    """The joins that large inputs get give the same results."""
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for setting in settings:
+        spark.conf.set(setting, "-1")
+    try:
+        verdict = compare(contract.queries()[name](spark, SF_DIR), oracle, ORACLES[name])
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+    assert verdict.startswith("ok"), verdict
