@@ -46,14 +46,11 @@ def register_sql_functions(spark: SparkSession) -> None:
     They are SQL bodies, which Catalyst inlines; no Python runs per row.
     """
     double_body = (
-        r"CASE WHEN NOT (s RLIKE '[dDfF]\\s*\\z' AND NOT s RLIKE "
-        r"'(?i)^\\s*[+-]?(inf|infinity|nan)\\s*\\z') THEN try_cast(s AS DOUBLE) END"
+        f"CASE WHEN NOT (s RLIKE r'{scalars.TYPE_SUFFIX}' AND NOT s RLIKE r'{scalars.NOT_FINITE}') "
+        "THEN try_cast(s AS DOUBLE) END"
     )
-    stamp_body = (
-        r"CASE WHEN s RLIKE '^\\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}' "
-        r"THEN try_cast(s AS TIMESTAMP_NTZ) END"
-    )
-    strip_body = r"regexp_replace(s, '(?s)^([0-9.]*)[^0-9.]', '$1')"
+    stamp_body = f"CASE WHEN s RLIKE r'{scalars.DATE_PREFIX}' THEN try_cast(s AS TIMESTAMP_NTZ) END"
+    strip_body = f"regexp_replace(s, r'{scalars.FIRST_NON_AMOUNT}', '$1')"
     day_body = (
         "try_to_timestamp(concat_ws(' ', initcap(trim(s)), CAST(y AS STRING)), 'd MMMM yyyy')"
     )
@@ -66,6 +63,3 @@ def register_sql_functions(spark: SparkSession) -> None:
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {result} RETURN {body}"
         )
-
-
-__all__ = ["NamedExpression", "register_sql_functions", "resolve_positions", "scalars", "to_column"]

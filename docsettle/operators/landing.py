@@ -130,7 +130,7 @@ def land_block(
     one = config.import_configs[position]
     window = config.window(position)
     cut = ranges.sheet_window(rows, one.sheet, window)
-    if ranges.needs_bounds(one):
+    if ranges.needs_bounds(config, one):
         bounds = ranges.block_bounds(documents, rows, config, position)
         if not one.has_header:
             data = _cleaned(ranges.clip(cut, bounds), config, one)

@@ -160,7 +160,7 @@ def block_bounds(
         found = found.withColumn("first_row", F.lit(first).cast("bigint"))
     if window is not None and window.last_row is not None:
         found = found.where(F.col("row_no") <= window.last_row)
-    if one.stop_at_empty:
+    if config.stops_at_empty(one):
         present = found.where(~is_blank(F.col("vals"))).select("document_id", "first_row", "row_no")
         ends = first_gaps(present).withColumn("last_row", F.col("gap_row") - 1)
     else:
@@ -241,6 +241,6 @@ def drop_footer(rows: DataFrame) -> DataFrame:
     return rows.join(last, ["document_id", "row_no"], "left_anti")
 
 
-def needs_bounds(one: ImportConfig) -> bool:
+def needs_bounds(config: PlatformConfig, one: ImportConfig) -> bool:
     """Whether the rows of an import end or start at a place that differs by document."""
-    return one.is_relative or bool(one.stop_at_empty)
+    return one.is_relative or config.stops_at_empty(one)

@@ -103,6 +103,12 @@ class PlatformConfig:
             return window
         return one.parsed_range
 
+    def stops_at_empty(self, one: ImportConfig) -> bool:
+        """The import's own setting; unset, a workbook scan stops only without a range."""
+        if one.stop_at_empty is not None:
+            return one.stop_at_empty
+        return not (self.uses_row_service or one.range or one.is_relative)
+
     def check_exports(self, platform: str) -> None:
         """Every export must read a table that some import fills."""
         read = {one.table_name for one in self.export_configs if one.reader_configs}

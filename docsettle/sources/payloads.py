@@ -151,6 +151,11 @@ def payload_rows(payloads: DataFrame) -> DataFrame:
 
 
 def unreadable_payloads(payloads: DataFrame) -> DataFrame:
-    """Payloads in none of the three envelopes."""
-    parsed = _parsed(payloads)
-    return parsed.where("objects IS NULL AND entries IS NULL").select(*payloads.columns)
+    """Payloads in none of the three envelopes.
+
+    They are generated and not filtered, as a filter would move below the parsing and
+    parse every body once more.
+    """
+    unreadable = F.col("objects").isNull() & F.col("entries").isNull()
+    once = F.when(unreadable, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return _parsed(payloads).select(*payloads.columns, F.explode(once).alias("_once")).drop("_once")

@@ -21,6 +21,13 @@ LEDGER_TABLE, ACCEPTED_TABLE, REJECTED_TABLE = "ledger", "accepted", "rejected"
 ACCEPTED = f"{schemas.REQUESTS}, document_id bigint, batch_id bigint"
 
 
+def request_stream(
+    spark: SparkSession, path: str, source: str = "json", **options: str
+) -> DataFrame:
+    """Requests from files that keep coming in; ``maxFilesPerTrigger`` bounds a batch."""
+    return spark.readStream.schema(schemas.REQUESTS).options(**options).format(source).load(path)
+
+
 def with_document_id(requests: DataFrame) -> DataFrame:
     return requests.withColumn("document_id", document_id(F.col("doc_url")))
 

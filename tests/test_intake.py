@@ -68,6 +68,6 @@ def test_stream_over_runs(spark, tmp_path):
     source, root = str(tmp_path / "log"), str(tmp_path / "out")
     for batch in BATCHES:
         spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        stream = intake.request_stream(spark, source, "parquet", maxFilesPerTrigger="1")
         intake.run_intake(stream, root, str(tmp_path / "cp"), flows()).awaitTermination()
     assert in_ledger(spark, root) == sorted(EXPECTED)

@@ -111,11 +111,18 @@ def test_header_names_are_usable(spark):
 
 def test_no_range_takes_the_whole_first_sheet(spark):
     rows = spark.createDataFrame(
-        [(1, "S", 1, 1, ["A", "B"]), (1, "S", 1, 2, ["1", "2"]), (1, "T", 2, 1, ["x", "y"])],
+        [
+            (1, "S", 1, 1, ["A", "B"]), (1, "S", 1, 2, ["1", "2"]), (1, "T", 2, 1, ["x", "y"]),
+            (1, "S", 1, 4, ["below", "an empty row"]),
+        ],
         "document_id bigint, sheet string, sheet_no int, row_no bigint, vals array<string>",
     )
     found, columns = land(rows, PlatformConfig("", (ImportConfig("t"),)), 0)
     assert (found, columns[2:]) == ([(1, 2, "1", "2")], ["A", "B"])
+    whole = PlatformConfig("", (ImportConfig("t", stop_at_empty=False),))
+    assert [row[1] for row in land(rows, whole, 0)[0]] == [2, 4]
+    service = PlatformConfig("libreoffice", (ImportConfig("t"),))
+    assert [row[1] for row in land(rows, service, 0)[0]] == [2, 4]
 
 
 def stacked(first, second, header=True, offset=3, sheet_name="S", start=5):
