@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ def to_column(expression: str, columns: Sequence[str]) -> Column:
     return F.expr(resolve_positions(expression, columns))
 
 
+@lru_cache(maxsize=8)
 def register_sql_functions(spark: SparkSession) -> None:
-    """Temporary SQL functions for use inside declared expressions.
+    """Temporary SQL functions for use inside declared expressions, once per session.
 
     They are SQL bodies, which Catalyst inlines; no Python runs per row.
     """

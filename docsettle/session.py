@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app_name: str = "docsettle", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job of this package relies on.
 
-    Without ``master`` the launcher (spark-submit) decides where to run.
+    Without ``master`` the launcher (spark-submit) decides where to run. Batches to Python
+    are bounded by bytes, since one record of the workbook scan holds a whole file.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -21,6 +22,7 @@ def build_session(app_name: str = "docsettle", master: str | None = None, **conf
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.variant.allowDuplicateKeys", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
