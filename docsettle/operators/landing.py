@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docsettle.operators import ranges
 from docsettle.session import staged
-from docsettle.sources.config import PlatformConfig
+from docsettle.sources.config import ImportConfig, PlatformConfig
 from docsettle.sources.payloads import block_rows, payload_blocks, row_value
 from docsettle.sources.ranges import Range
 from docsettle.sources.workbook import readable_rows
@@ -133,7 +133,7 @@ def land_block(
     if ranges.needs_bounds(config, one):
         bounds = ranges.block_bounds(documents, rows, config, position)
         if not one.has_header:
-            data = _cleaned(ranges.clip(cut, bounds), config, one)
+            data = _cleaned(ranges.clip(cut, _kept_bounds(bounds, config, one)), config, one)
             return _spread(data, target or one.columns or _neutral(cut, window))
         headers = (
             ranges.relative_header_rows(cut, bounds)
@@ -144,7 +144,7 @@ def land_block(
         first, last = (window.first_row, window.last_row) if window is not None else (1, None)
         data = ranges.between_rows(cut, first + one.has_header, last)
         if not one.has_header:
-            data = _cleaned(data, config, one)
+            data = _cleaned(data, config, one, footer_kept=True)
             return _spread(data, target or one.columns or _neutral(cut, window))
         headers = ranges.literal_header_rows(cut, window)
         bounds = data.groupBy("document_id").agg(F.max("row_no").alias("last_row"))
@@ -156,20 +156,20 @@ def land_block(
         names = _neutral(cut, window)
     named = ranges.clean_names(headers, window)
     matches = match_columns(named, names).select("document_id", "match")
-    facts = bounds.join(matches, "document_id", "left").withColumn(
+    facts = _kept_bounds(bounds, config, one).join(matches, "document_id", "left").withColumn(
         "match", F.coalesce("match", in_order(names))
     )
     data = ranges.clip(cut, facts).where("row_no > first_row")
     return project_rows(_cleaned(data, config, one), names)
 
 
-def data_rows(cut: DataFrame, one, window: Range | None) -> DataFrame:
+def data_rows(cut: DataFrame, one: ImportConfig, window: Range | None) -> DataFrame:
     """Rows that may belong to a block, wherever it starts."""
     first = window.first_row if window is not None and not one.is_relative else 1
     return ranges.between_rows(cut, first, None)
 
 
-def _neutral(cut: DataFrame, window) -> list[str]:
+def _neutral(cut: DataFrame, window: Range | None) -> list[str]:
     """Neutral names; without a range the widest row decides, one number for the driver."""
     if window is not None:
         return window.column_names
@@ -181,10 +181,21 @@ def _spread(data: DataFrame, names: Sequence[str]) -> DataFrame:
     return data.select("document_id", "row_no", *ranges.spread(list(names)))
 
 
-def _cleaned(data: DataFrame, config: PlatformConfig, one) -> DataFrame:
+def _kept_bounds(bounds: DataFrame, config: PlatformConfig, one: ImportConfig) -> DataFrame:
+    """Bounds that end above the footer, where no row below it can have been dropped."""
+    if one.footer and not config.uses_row_service:
+        return bounds.withColumn("last_row", F.col("last_row") - 1)
+    return bounds
+
+
+def _cleaned(
+    data: DataFrame, config: PlatformConfig, one: ImportConfig, footer_kept: bool = False
+) -> DataFrame:
+    """Rows without formula errors, for the row service, and without the footer."""
     if config.uses_row_service:
         data = ranges.drop_formula_errors(data)
-    return ranges.drop_footer(data) if one.footer else data
+        footer_kept = True
+    return ranges.drop_footer(data) if one.footer and footer_kept else data
 
 
 def land_workbooks(

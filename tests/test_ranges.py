@@ -193,3 +193,22 @@ def test_footer_after_formula_errors(spark):
 def test_blank_rows(spark):
     frame = spark.createDataFrame([([None, "", " "],), (["a"],), ([],)], "vals array<string>")
     assert [r[0] for r in frame.select(ranges.is_blank(F.col("vals"))).collect()] == [True, False, True]
+
+
+@pytest.mark.parametrize("method", ["", "libreoffice"])
+@pytest.mark.parametrize("stop", [True, False])
+@pytest.mark.parametrize("header", [True, False])
+def test_footer_in_all_ways(spark, method, stop, header):
+    rows = sheet(
+        spark,
+        [
+            (1, "S", 1, ["A", "B"]), (1, "S", 2, ["a", "1"]), (1, "S", 3, ["b", "2"]),
+            (1, "S", 4, ["sum", "3"]), (2, "S", 1, ["A", "B"]), (2, "S", 2, ["sum", "0"]),
+            (3, "S", 1, ["A", "B"]),
+        ],
+    )
+    one = ImportConfig("t", "S", "A1:B", header=header, stop_at_empty=stop, footer=True)
+    found, _ = land(rows, PlatformConfig(method, (one,)), 0, ["A", "B"])
+    body = [(1, 2, "a", "1"), (1, 3, "b", "2")]
+    tops = [(1, 1, "A", "B"), (2, 1, "A", "B")]
+    assert found == (body if header else sorted(body + tops))
