@@ -7,6 +7,7 @@ from tools.check_oracle import compare, open_oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = contract.oracle_sql()
+QUERIES = {name: run for name, run in contract.queries().items() if name not in contract.TEXT_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +18,12 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(contract.queries())
+    assert set(ORACLES) - set(contract.TEXT_ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    verdict = compare(contract.queries()[name](spark, SF_DIR), oracle, ORACLES[name])
+    verdict = compare(QUERIES[name](spark, SF_DIR), oracle, ORACLES[name])
     assert verdict.startswith("ok"), verdict
 
 
@@ -49,7 +50,7 @@ def test_without_automatic_broadcasts(spark, oracle, name):
     for setting in settings:
         spark.conf.set(setting, "-1")
     try:
-        verdict = compare(contract.queries()[name](spark, SF_DIR), oracle, ORACLES[name])
+        verdict = compare(QUERIES[name](spark, SF_DIR), oracle, ORACLES[name])
     finally:
         for setting in settings:
             spark.conf.unset(setting)
