@@ -190,6 +190,7 @@ def decontaminate(
     size: int = WINDOW,
     max_coverage: float = 0.05,
     max_span: int | None = None,
+    with_text: bool = True,
 ) -> DataFrame:
     """What of each text is in the benchmark, one row per input row.
 
@@ -198,15 +199,14 @@ def decontaminate(
     ``items_sha256`` (of the ids of the items that occur, sorted and joined by commas),
     ``contaminated`` (hit words are ``max_coverage`` of all, or more), ``spans`` (word positions,
     end exclusive) and ``clean_text``: null where contaminated, else the text without spans of
-    ``max_span`` words or more (None: spans stay).
+    ``max_span`` words or more (None: spans stay). ``with_text`` False leaves the text out.
 
     A null or empty text has no words and is not contaminated. Items without words, null items
     and null item ids match nothing; equal texts under several ids are several items; an id with
     several texts, or repeated, counts once. An empty benchmark leaves all as it is. Columns outside
     ``carry`` are not read.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(automaton_of(benchmark, size=size))
+    shared = documents.sparkSession.sparkContext.broadcast(automaton_of(benchmark, size=size))
     parts = round(max_coverage * 10_000)
     keep = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)), F.col(text_col).cast("string").alias("t"))
 
@@ -225,9 +225,10 @@ def decontaminate(
                 out["bad"].append(bad)
                 out["spans"].append([{"first": a, "end": b} for a, b in spans])
                 cut = [x for x in spans if max_span is not None and x[1] - x[0] >= max_span]
-                out["clean"].append(None if bad or text is None else without_spans(text, cut) if cut else text)
+                clean = without_spans(text, cut) if cut else text
+                out["clean"].append(clean.decode() if with_text and text is not None and not bad else None)
             span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span, pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span, pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))],
                 [*batch.schema.names[:-1], *out],
@@ -236,7 +237,7 @@ def decontaminate(
     kinds = ", ".join(f"c{i} {keep.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carry)))
     found = keep.mapInArrow(
         scan,
-        f"{kinds}, w long, h long, i long, s string, bad boolean, spans array<struct<first: long, end: long>>, clean binary",
+        f"{kinds}, w long, h long, i long, s string, bad boolean, spans array<struct<first: long, end: long>>, clean string",
     )
     return found.select(
         *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)),
@@ -246,5 +247,5 @@ def decontaminate(
         F.col("s").alias("items_sha256"),
         F.col("bad").alias("contaminated"),
         "spans",
-        F.decode("clean", F.lit("UTF-8")).alias("clean_text"),
+        *([F.col("clean").alias("clean_text")] if with_text else []),
     )

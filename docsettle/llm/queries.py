@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,123 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM d
+),
+windows AS (
+  SELECT doc_id, p, array_to_string(ws[p:p + 4], ' ') AS g FROM w, unnest(range(1, len(ws) - 3)) AS u(p)
+),
+twice AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1
+),
+repeated AS (
+  SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + 5)) AS x FROM twice) GROUP BY doc_id
+),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals,
+         len(ls)::BIGINT AS n_lines,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN repeated USING (doc_id)
+),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_capitals > word_chars
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM b
+"""
+
+
+@query("op1_quality_rules", OP1_SQL)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.quality import assess
+
+    found = assess(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def token_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.packing import pack, pieces
+
+    cut = pieces(table(spark, sf_dir, "documents"), token_file(), with_ids=False)
+    return pack(cut).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_sampled_splitters")
+def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.sharding import shard
+
+    found = shard(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+),
+i AS (
+  SELECT item_id, ws, least(13, len(ws)) AS k FROM (
+    SELECT item_id::VARCHAR AS item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark)
+  WHERE len(ws) > 0
+),
+iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM i, unnest(range(1, len(ws) - k + 2)) AS u(p)
+),
+dw AS (
+  SELECT doc_id, p, k, array_to_string(ws[p:p + k - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT k FROM iw) AS s, unnest(range(1, len(ws) - k + 2)) AS u(p)
+),
+hits AS (SELECT doc_id, p, k, item_id FROM dw JOIN iw USING (k, g)),
+h AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS x FROM hits) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op8_benchmark_passages", OP8_SQL)
+def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.decontaminate import decontaminate
+
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), with_text=False)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docsettle.llm.jaccard import jaccard_components
@@ -39,3 +157,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "dropped_lines")
+
+
+@query("op10_token_attribution")
+def op10_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.offsets import section_tokens
+
+    found = section_tokens(table(spark, sf_dir, "documents"), token_file())
+    return found.withColumnRenamed("id", "doc_id")
