@@ -165,3 +165,26 @@ def op10_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = section_tokens(table(spark, sf_dir, "documents"), token_file())
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op3_page_text")
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.pages import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op5_warc_derivatives")
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.warc import derive, responses_of
+
+    found = derive(responses_of(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
+    return found.withColumn("text", F.when(F.col("type") == "conversion", F.decode("block", "UTF-8"))).drop("block")
+
+
+@query("op4_kneser_ney")
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.ngrams import classify
+
+    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
