@@ -16,7 +16,7 @@ give links at once, and the triangle inequality bounds which others are worth co
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +43,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     """Hashes of words, forgotten when there are too many."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > 600_000:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_digest(word)
         return value
 
+    def of(self, words: Iterable[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint64)
 
-def shingle_set(text: bytes | None, size: int, hashes: dict) -> np.ndarray:
+
+def shingle_set(text: bytes | None, size: int, hashes: _WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the text's ``size``-word shingles, A-Z in lower case."""
     words = (text or b"").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    h = hashes.of(words)
     width = min(size, len(h))
     out = np.full(len(h) - width + 1, np.uint64(width))
     for i in range(width):
