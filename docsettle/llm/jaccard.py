@@ -44,7 +44,7 @@ class _WordHashes(dict):
     """Hashes of words, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 600_000:
+        if len(self) > 400_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_digest(word)
         return value

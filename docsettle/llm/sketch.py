@@ -13,30 +13,35 @@ from pyspark.sql import functions as F
 BITS = 1 << 24  # 2 MB, whatever the set; a fuller bitmap lets more rows pass, and joins decide
 
 
-def _places(digests: list[bytes]) -> np.ndarray:
-    first = b"".join(d[:8] for d in digests)
-    return (np.frombuffer(first, np.uint64) % np.uint64(BITS)).astype(np.int64)
+def _places(keys: list[bytes] | np.ndarray) -> np.ndarray:
+    if isinstance(keys, list):  # digests
+        keys = np.frombuffer(b"".join(k[:8] for k in keys), np.uint64)
+    return (keys.view(np.uint64) % np.uint64(BITS)).astype(np.int64)
 
 
-def bitmap(digests: DataFrame) -> Broadcast:
-    """The bitmap of a frame with one column of digests (binary); at most 262,144 rows come back."""
+def _keys(column: pa.Array) -> list[bytes] | np.ndarray:
+    return column.to_numpy() if pa.types.is_int64(column.type) else column.to_pylist()
+
+
+def bitmap(keys: DataFrame) -> Broadcast:
+    """The bitmap of a frame with one column of digests (binary) or hashes (long); at most 262,144 rows come back."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(BITS // 64, np.uint64)
         for batch in batches:
-            place = _places(batch.column(0).to_pylist())
+            place = _places(_keys(batch.column(0)))
             np.bitwise_or.at(own, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
         at = own.nonzero()[0]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at].view(np.int64))], ["word", "bits"])
 
-    merged = digests.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    merged = keys.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
     rows = merged.toArrow()
     full = np.zeros(BITS // 64, np.uint64)
     full[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return digests.sparkSession.sparkContext.broadcast(full)
+    return keys.sparkSession.sparkContext.broadcast(full)
 
 
-def possible(full: np.ndarray, digests: list[bytes]) -> np.ndarray:
-    """Which digests can be in the set."""
-    place = _places(digests)
+def possible(full: np.ndarray, keys: list[bytes] | np.ndarray) -> np.ndarray:
+    """Which keys can be in the set."""
+    place = _places(keys)
     return (full[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
