@@ -31,6 +31,17 @@ def decode_entities(documents: DataFrame) -> DataFrame:
     return documents.withColumn("entities", F.coalesce(parsed, empty))
 
 
+def readable_entities(documents: DataFrame) -> DataFrame:
+    """Documents with an entity list, which may be empty."""
+    return documents.where(F.from_json("raw_ocr_data", schemas.ENTITIES).isNotNull())
+
+
+def unreadable_entities(documents: DataFrame) -> DataFrame:
+    """Documents whose entity list is absent or no JSON list: ``document_id, import_no, reason``."""
+    bad = documents.where(F.from_json("raw_ocr_data", schemas.ENTITIES).isNull())
+    return bad.select("document_id", F.lit(None).cast("int").alias("import_no"), F.lit("unreadable entities").alias("reason"))
+
+
 def mention_value(entity: Column) -> Column:
     """Mention text, else the content of the text anchor, else empty."""
     return F.coalesce(

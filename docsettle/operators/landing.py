@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,6 +236,49 @@ def land_payloads(
     return tables
 
 
+def payload_faults(documents: DataFrame, payloads: DataFrame, platform: str, config: PlatformConfig) -> DataFrame:
+    """Why documents cannot be landed from their payloads: ``document_id, import_no, reason``.
+
+    Every import needs a payload that is readable and whose columns fit the table.
+    """
+    found, targets = [], {}
+    for position, one in enumerate(config.import_configs):
+        own = payloads.where(F.col("import_no") == position).select("document_id", "body")
+        name = one.table_for(platform)
+        target = targets.get(name) or one.columns or first_payload_columns(own)
+        targets[name] = target
+        blocks = match_columns(payload_blocks(own), target or [""])
+        reason = F.when(F.col("rows").isNull(), "unreadable payload")
+        if target:
+            reason = reason.when(F.col("match.how") == REJECTED, "columns do not fit")
+        status = blocks.select("document_id", F.coalesce(reason, F.lit("")).alias("reason"))
+        status = documents.select("document_id").join(status, "document_id", "left")
+        status = status.select(
+            "document_id", F.lit(position).alias("import_no"), F.coalesce("reason", F.lit("missing payload")).alias("reason")
+        )
+        found.append(status.where("reason != ''"))
+    return reduce(DataFrame.union, found)
+
+
+def workbook_faults(documents: DataFrame, rows: DataFrame, config: PlatformConfig) -> DataFrame:
+    """Why documents cannot be landed from sheet rows; a sheet without any row counts as missing."""
+    first = F.col("sheet_no") == 1 if "sheet_no" in rows.columns else F.lit(True)
+    wanted = [
+        F.max(F.col("sheet") == one.sheet if one.sheet else first).alias(f"has_{k}")
+        for k, one in enumerate(config.import_configs)
+    ]
+    seen = rows.groupBy("document_id").agg(F.lit(True).alias("has_rows"), *wanted)
+    status = documents.select("document_id").join(seen, "document_id", "left")
+    unread = status.where("has_rows IS NULL").select(
+        "document_id", F.lit(None).cast("int").alias("import_no"), F.lit("missing or unreadable workbook").alias("reason")
+    )
+    lacking = F.array_compact(
+        F.array(*(F.when(~F.col(f"has_{k}"), F.lit(k)) for k in range(len(wanted))))
+    )
+    sheets = status.where("has_rows").select("document_id", F.explode(lacking).alias("import_no"), F.lit("missing sheet").alias("reason"))
+    return unread.union(sheets)
+
+
 def write_table(df: DataFrame, root: str, table: str, batch_id: int) -> str:
     """Write one batch; writing the same batch again replaces it."""
     path = f"{root.rstrip('/')}/{table}"

@@ -29,6 +29,7 @@ class Bills:
     new_correspondents: DataFrame
     updates: DataFrame
     ledger: DataFrame
+    rejects: DataFrame
 
 
 def run_bills(
@@ -42,9 +43,11 @@ def run_bills(
 ) -> Bills:
     """``documents`` has the columns of the entity documents, JSON entities included.
 
-    The entity lists are decoded once for bills and updates; what is staged are the few
-    short fields read from them, not the lists or texts.
+    What is staged are the few short fields read from the entity lists, not the lists or
+    texts. A document without a readable list is in ``rejects`` and nowhere else.
     """
+    rejects = entities.unreadable_entities(documents)
+    documents = entities.readable_entities(documents)
     invoices = entities.extract_invoices(entities.decode_entities(documents))
     fields_read = staged(invoices.select(*EXTRACTED), "invoices")
     vendors = dims.get_or_create_vendors(fields_read, contacts)
@@ -59,4 +62,5 @@ def run_bills(
         named.created,
         entities.document_updates(with_text, bound),
         ledger.bill_ledger(invoices, created_at),
+        rejects,
     )

@@ -18,6 +18,7 @@ class Statements:
     new_accounts: DataFrame
     updates: DataFrame
     ledger: DataFrame
+    rejects: DataFrame
 
 
 def run_statements(
@@ -27,8 +28,11 @@ def run_statements(
 
     Only the banks' names are staged for that; the join back is between single documents.
 
-    A document without any transaction gets no account.
+    A document without any transaction gets no account; one without a readable entity list
+    is in ``rejects`` and nowhere else.
     """
+    rejects = entities.unreadable_entities(documents)
+    documents = entities.readable_entities(documents)
     decoded = entities.decode_entities(documents)
     owned = decoded.where(entities.has_transactions(F.col("entities")))
     banks = staged(entities.bank_names(owned).select("document_id", "bank_name"), "banks")
@@ -40,4 +44,5 @@ def run_statements(
         owners.created,
         entities.content_updates(documents),
         ledger.statement_ledger(documents, created_at),
+        rejects,
     )

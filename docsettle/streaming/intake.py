@@ -33,7 +33,7 @@ def with_document_id(requests: DataFrame) -> DataFrame:
 
 
 def is_valid():
-    return F.col("document_id").isNotNull() & F.col("kind").isin(FLOWS)
+    return F.coalesce(F.col("document_id").isNotNull() & F.col("kind").isin(FLOWS), F.lit(False))
 
 
 def earlier_ledger(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
