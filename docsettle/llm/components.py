@@ -97,3 +97,10 @@ def components(edges: DataFrame) -> DataFrame:
 def batch_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a text column, without decoding them."""
     return pc.cast(column, pa.large_binary()).to_pylist()
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that few texts are in pieces at once."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsettle.llm.cells import cell_links
-from docsettle.llm.components import batch_bytes, components, equal_key_links
+from docsettle.llm.components import batch_bytes, components, equal_key_links, slices
 from docsettle.llm.sketch import bitmap, possible
 from docsettle.session import staged
 
@@ -44,7 +44,7 @@ class _WordHashes(dict):
     """Hashes of words, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_digest(word)
         return value
@@ -127,7 +127,7 @@ def jaccard_links(percent: int):
             return found
         sizes = np.array([len(x) for x in two])
         flat = np.concatenate(two)
-        owner = np.repeat(np.arange(len(two)), sizes)
+        owner = np.repeat(np.arange(len(two), dtype=np.int32), sizes)
         order = np.argsort(flat, kind="stable")
         values, starts, counts = np.unique(flat[order], return_index=True, return_counts=True)
         owner = owner[order]
@@ -185,7 +185,7 @@ def shingle_sets(documents: DataFrame, id_col: str, text_col: str, size: int, pe
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
-        for batch in batches:
+        for batch in slices(batches):
             digests, sizes, keys = [], [], []
             for text in batch_bytes(batch.column(1)):
                 s = shingle_set(text, size, hashes)
@@ -211,7 +211,7 @@ def jaccard_components(
     text_col: str = "text",
     size: int = 5,
     percent: int = 80,
-    task_weight: int = 4_000_000,
+    task_weight: int = 2_000_000,
 ) -> DataFrame:
     """``id, n_shingles, component_id`` per row: the smallest id reachable by links.
 
@@ -231,7 +231,7 @@ def jaccard_components(
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
-        for batch in batches:
+        for batch in slices(batches):
             found: dict[bytes, bytes] = {}
             for text in batch_bytes(batch.column(0)):
                 payload = shingle_set(text, size, hashes).tobytes()

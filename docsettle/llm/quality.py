@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsettle.session import staged
-
 BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
@@ -102,7 +100,7 @@ def _broken(rule: Rule, text: Column, known: dict[str, Column]) -> Column:
     return rule.broken(*(known.get(m, MEASURES[m](text)) for m in rule.needs))
 
 
-def cascade_order(documents: DataFrame, text_col: str, rules: list[Rule], sample_rows: int = 500) -> list[Rule]:
+def cascade_order(documents: DataFrame, text_col: str, rules: list[Rule], sample_rows: int = 300) -> list[Rule]:
     """The rules by texts rejected per second on a sample of at most ``sample_rows`` texts.
 
     The sample comes from the first partitions that hold it, so the corpus is not read for it.
@@ -110,7 +108,8 @@ def cascade_order(documents: DataFrame, text_col: str, rules: list[Rule], sample
     stays as it is.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sample = staged(documents.select(text.alias("t")).sample(0.1, seed=7).limit(sample_rows), "sample")
+    rows = documents.select(text.alias("t")).sample(0.1, seed=7).take(sample_rows)  # partition by partition
+    sample = documents.sparkSession.createDataFrame(rows, "t string")
     found = []
     for rule in rules:
         query = sample.agg(F.count_if(_broken(rule, F.col("t"), {})).alias("n"))
