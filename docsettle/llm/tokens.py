@@ -16,7 +16,7 @@ import numpy as np
 
 _PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _OTHER_BLANK = re.compile(r"[^\S \n\t\r]")
-_MOST_WORDS = 800_000
+_MOST_WORDS = 400_000
 _ENDS = frozenset(",.;:!?")
 
 
