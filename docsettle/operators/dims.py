@@ -17,6 +17,7 @@ from docsettle.fixed import (
     ORIGINALS_FOLDER,
 )
 from docsettle.functions.scalars import or_default
+from docsettle.operators.landing import earlier_batches
 from docsettle.operators.lookups import lookup
 from docsettle.session import staged
 from docsettle.sources.config import tag_ids
@@ -59,6 +60,16 @@ class Resolved:
         self.created = created
 
 
+def known_entries(dimension: DataFrame, root: str, table: str, batch_id: int) -> DataFrame:
+    """A dimension with the entries that earlier batches created and wrote to ``table``.
+
+    Resolving against it, and writing what is created with ``write_table``, gives each
+    name one id over all batches, also when a batch runs again.
+    """
+    earlier = earlier_batches(dimension.sparkSession, root, table, dimension.schema, batch_id)
+    return dimension.unionByName(earlier)
+
+
 def new_ids(missing: DataFrame, key: str, greatest: DataFrame) -> DataFrame:
     """Adds a dense ``id`` above the ``greatest`` one, in the order of the key's digest.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from docsettle import schemas
 from docsettle.operators import ranges
 from docsettle.session import staged
 from docsettle.sources.config import ImportConfig, PlatformConfig
@@ -16,6 +19,8 @@ from docsettle.sources.ranges import Range
 from docsettle.sources.workbook import readable_rows
 
 BY_NAME, BY_POSITION, REJECTED = "by_name", "by_position", "rejected"
+COLUMNS_TABLE = "landing_columns"
+Columns = Mapping[str, Sequence[str]]
 
 
 def in_order(target: Sequence[str]) -> Column:
@@ -200,17 +205,22 @@ def _cleaned(
 
 
 def land_workbooks(
-    documents: DataFrame, rows: DataFrame, platform: str, config: PlatformConfig
+    documents: DataFrame,
+    rows: DataFrame,
+    platform: str,
+    config: PlatformConfig,
+    columns: Columns | None = None,
 ) -> dict[str, DataFrame]:
     """All landing tables of a platform. Imports of one table are appended in order.
 
-    A table none of whose blocks exists in any document is not created.
+    ``columns`` are those of tables that exist already. A table none of whose blocks
+    exists in any document is not created.
     """
     tables: dict[str, DataFrame] = {}
     for position, one in enumerate(config.import_configs):
         name = one.table_for(platform)
         known = tables.get(name)
-        target = None if known is None else known.columns[2:]
+        target = (columns or {}).get(name) if known is None else known.columns[2:]
         block = land_block(documents, rows, config, position, target)
         if block is None:
             continue
@@ -219,7 +229,7 @@ def land_workbooks(
 
 
 def land_payloads(
-    payloads: DataFrame, platform: str, config: PlatformConfig
+    payloads: DataFrame, platform: str, config: PlatformConfig, columns: Columns | None = None
 ) -> dict[str, DataFrame]:
     """As :func:`land_workbooks`, for JSON payloads with an ``import_no`` (from 0)."""
     tables: dict[str, DataFrame] = {}
@@ -227,8 +237,8 @@ def land_payloads(
         name = one.table_for(platform)
         own = payloads.where(F.col("import_no") == position).select("document_id", "body")
         known = tables.get(name)
-        target = known.columns[2:] if known is not None else one.columns
-        target = target or first_payload_columns(own)
+        target = (columns or {}).get(name) if known is None else known.columns[2:]
+        target = target or one.columns or first_payload_columns(own)
         if not target:
             continue
         landed = land_payload_blocks(payload_blocks(own), target, one.footer)
@@ -236,12 +246,19 @@ def land_payloads(
     return tables
 
 
-def payload_faults(documents: DataFrame, payloads: DataFrame, platform: str, config: PlatformConfig) -> DataFrame:
+def payload_faults(
+    documents: DataFrame,
+    payloads: DataFrame,
+    platform: str,
+    config: PlatformConfig,
+    columns: Columns | None = None,
+) -> DataFrame:
     """Why documents cannot be landed from their payloads: ``document_id, import_no, reason``.
 
-    Every import needs a payload that is readable and whose columns fit the table.
+    Every import needs a payload that is readable and whose columns fit the table;
+    ``columns`` are those of tables that exist already.
     """
-    found, targets = [], {}
+    found, targets = [], dict(columns or {})
     for position, one in enumerate(config.import_configs):
         own = payloads.where(F.col("import_no") == position).select("document_id", "body")
         name = one.table_for(platform)
@@ -279,6 +296,81 @@ def workbook_faults(documents: DataFrame, rows: DataFrame, config: PlatformConfi
     return unread.union(sheets)
 
 
+def header_rows(
+    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
+) -> DataFrame:
+    """The header row of one import, for every document that has it."""
+    one, window = config.import_configs[position], config.window(position)
+    cut = ranges.sheet_window(rows, one.sheet, window)
+    if not one.is_relative:
+        return ranges.literal_header_rows(cut, window)
+    return ranges.relative_header_rows(cut, ranges.block_bounds(documents, rows, config, position))
+
+
+def column_faults(
+    documents: DataFrame,
+    rows: DataFrame,
+    platform: str,
+    config: PlatformConfig,
+    columns: Columns | None = None,
+) -> tuple[list[DataFrame], dict[str, list[str]]]:
+    """Documents whose headers do not fit their tables, and the tables' columns.
+
+    ``columns`` are those of tables that exist already, which headers do not change. The
+    columns found are for :func:`land_workbooks`, which then asks for no header again.
+    """
+    found, targets = [], {name: list(own) for name, own in (columns or {}).items()}
+    for position, one in enumerate(config.import_configs):
+        if not one.has_header:
+            continue
+        name, window = one.table_for(platform), config.window(position)
+        headers = header_rows(documents, rows, config, position)
+        target = targets.get(name) or list(one.columns) or first_columns(headers, window)
+        if not target:
+            continue
+        targets[name] = target
+        misfits = match_columns(ranges.clean_names(headers, window), target)
+        misfits = misfits.where(F.col("match.how") == REJECTED)
+        found.append(
+            misfits.select(
+                "document_id", F.lit(position).alias("import_no"), F.lit("columns do not fit").alias("reason")
+            )
+        )
+    return found, targets
+
+
+def stored_columns(spark: SparkSession, root: str, batch_id: int) -> dict[str, list[str]]:
+    """Columns of the landing tables that earlier batches created; a row per table."""
+    rows = earlier_batches(spark, root, COLUMNS_TABLE, schemas.LANDING_COLUMNS, batch_id).collect()
+    return {row["table_name"]: list(row["columns"]) for row in rows}
+
+
+def store_columns(
+    spark: SparkSession, tables: Mapping[str, DataFrame], known: Columns, root: str, batch_id: int
+) -> None:
+    """Keep the columns of the tables that this batch created."""
+    fresh = [(name, landed.columns[2:]) for name, landed in tables.items() if name not in known]
+    write_table(spark.createDataFrame(fresh, schemas.LANDING_COLUMNS), root, COLUMNS_TABLE, batch_id)
+
+
+def earlier_batches(
+    spark: SparkSession, root: str, table: str, schema: str | StructType, batch_id: int
+) -> DataFrame:
+    """Rows that the batches before this one wrote to a table; none before the first.
+
+    A batch that runs again does not see what it wrote itself.
+    """
+    kept = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = StructType([*kept.fields]).add("batch_id", "long")
+    try:
+        rows = spark.read.schema(whole).parquet(f"{root.rstrip('/')}/{table}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], kept)
+    return rows.where(F.col("batch_id") < batch_id).select(*kept.fieldNames())
+
+
 def write_table(df: DataFrame, root: str, table: str, batch_id: int) -> str:
     """Write one batch; writing the same batch again replaces it."""
     path = f"{root.rstrip('/')}/{table}"

@@ -25,3 +25,5 @@ LEDGER = (
 )
 
 REQUESTS = "kind string, doc_url string, received_at timestamp_ntz"
+
+LANDING_COLUMNS = "table_name string, columns array<string>"

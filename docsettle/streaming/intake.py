@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from docsettle import schemas
 from docsettle.fixed import FLOWS
 from docsettle.functions.scalars import document_id
-from docsettle.operators.landing import write_table
-from docsettle.operators.ledger import exclude_processed, first_requests, read_ledger
+from docsettle.operators.landing import earlier_batches, write_table
+from docsettle.operators.ledger import exclude_processed, first_requests
 
 Flow = Callable[[DataFrame, int], Mapping[str, DataFrame]]
 LEDGER_TABLE, ACCEPTED_TABLE, REJECTED_TABLE = "ledger", "accepted", "rejected"
@@ -36,16 +35,6 @@ def is_valid():
     return F.coalesce(F.col("document_id").isNotNull() & F.col("kind").isin(FLOWS), F.lit(False))
 
 
-def earlier_ledger(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """Ledger rows of the batches before this one; empty before the first."""
-    try:
-        return read_ledger(spark, f"{root}/{LEDGER_TABLE}", batch_id)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{schemas.LEDGER}, batch_id bigint")
-
-
 def process_batch(
     requests: DataFrame, batch_id: int, root: str, flows: Mapping[str, Flow]
 ) -> None:
@@ -59,7 +48,7 @@ def process_batch(
     write_table(parsed.where(~is_valid()), root, REJECTED_TABLE, batch_id)
     fresh = exclude_processed(
         first_requests(parsed.where(is_valid()), "received_at"),
-        earlier_ledger(spark, root, batch_id),
+        earlier_batches(spark, root, LEDGER_TABLE, schemas.LEDGER, batch_id),
     )
     write_table(fresh, root, ACCEPTED_TABLE, batch_id)
     accepted = (

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsettle.operators import dims, ledger, lookups
+from docsettle.operators.landing import write_table
 
 
 @pytest.fixture
@@ -55,6 +56,16 @@ def test_correspondents_leave_nameless_documents_alone(spark):
     assert [tuple(r) for r in result.created.collect()] == [(6, "B")]
 
 
+def test_entries_of_earlier_batches_are_known(spark, contacts, tmp_path):
+    """A name that a batch creates is found by the next one; a repeated batch gives the same ids."""
+    root, ids = str(tmp_path / "out"), {}
+    for batch_id, names in [(0, ["First", "beta"]), (1, ["Second", "FIRST"]), (1, ["Second", "FIRST"]), (2, ["second"])]:
+        found, created = vendors(spark, dims.known_entries(contacts, root, "contacts", batch_id), names)
+        write_table(created, root, "contacts", batch_id)
+        assert ids.setdefault(batch_id, found) == found
+    assert ids == {0: [14, 12], 1: [15, 14], 2: [15]}
+
+
 def test_platforms(spark):
     documents = spark.createDataFrame(
         [(1, [3, 2, 1]), (2, [9]), (3, []), (4, None)], "document_id bigint, tags array<int>"
