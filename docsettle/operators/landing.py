@@ -329,13 +329,10 @@ def column_faults(
         if not target:
             continue
         targets[name] = target
-        misfits = match_columns(ranges.clean_names(headers, window), target)
-        misfits = misfits.where(F.col("match.how") == REJECTED)
-        found.append(
-            misfits.select(
-                "document_id", F.lit(position).alias("import_no"), F.lit("columns do not fit").alias("reason")
-            )
-        )
+        matched = match_columns(ranges.clean_names(headers, window), target)
+        # generated and not filtered: a filter would move below the names and repeat their expressions
+        reasons = F.when(F.col("match.how") == REJECTED, F.array(F.lit("columns do not fit")))
+        found.append(matched.select("document_id", F.lit(position).alias("import_no"), F.explode(reasons).alias("reason")))
     return found, targets
 
 
