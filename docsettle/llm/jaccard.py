@@ -11,6 +11,11 @@ parts, so both lie at distance 0 from that class's pivot. The number of classes
 range; sets near its lower bound are replicated into the range they can still reach. Connected
 regions form a cell. Second, in a cell, document pivots split the rest: distances to a pivot
 give links at once, and the triangle inequality bounds which others are worth comparing.
+
+Passages that many texts share can chain unrelated texts into one cell. A cell too heavy for a
+task is divided again, before any set is moved: its sets' least common shingles are pivots, and a
+set lies in the regions of as many of them as the radius asks for, so that two sets within the
+radius have one in common. This repeats for the cells that stay heavy while it helps.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 
 from docsettle.llm.cells import cell_links
 from docsettle.llm.components import batch_bytes, components, equal_key_links, slices
-from docsettle.llm.sketch import bitmap, possible
+from docsettle.llm.sketch import bitmap, counters, possible, tally
 from docsettle.session import staged
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -205,6 +210,72 @@ def shingle_sets(documents: DataFrame, id_col: str, text_col: str, size: int, pe
     return rows.mapInArrow(parse, f"id {kind}, digest binary, n_shingles long, keys array<long>")
 
 
+def sets_among(batches: Iterator[pa.RecordBatch], size: int, full: np.ndarray) -> Iterator[dict[bytes, np.ndarray]]:
+    """Sets by digest of those texts that the bitmap lets pass, once per set and task, in parts."""
+    hashes, seen = _WordHashes(), set()
+    for batch in slices(batches):
+        found: dict[bytes, np.ndarray] = {}
+        for text in batch_bytes(batch.column(0)):
+            s = shingle_set(text, size, hashes)
+            if len(s):
+                node = xxhash.xxh3_128_digest(s.tobytes())
+                if node not in seen and possible(full, [node])[0]:
+                    seen.add(node)
+                    found[node] = s
+        yield found
+
+
+def least_common(s: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """As many of a set's least counted shingles as a set within the radius cannot lack altogether.
+
+    Two sets within the radius share ``percent`` of either one. In whatever order, the same for
+    all sets, the first of the shared shingles is then among the first ``n - shared + 1`` of both.
+    """
+    first = len(s) + (-percent * len(s) // 100) + 1
+    order = np.lexsort((s, tally(counts, s)))
+    return s[order[:first]].view(np.int64)
+
+
+def finer_regions(texts: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """``node, root`` of the ``nodes`` that share a region of a least common shingle, connected."""
+    full = bitmap(nodes)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for found in sets_among(batches, size, full.value):
+            if found:
+                yield np.concatenate(list(found.values()))
+
+    counts = counters(texts, shingles)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in sets_among(batches, size, full.value):
+            keys = [least_common(s, counts.value, percent) for s in found.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+
+    dealt = staged(texts.mapInArrow(deal, "node binary, keys array<long>"), "least_common")
+    return components(equal_key_links(dealt.select(F.explode("keys").alias("key"), "node")))
+
+
+def divide_heavy(cells: DataFrame, sizes: DataFrame, texts: DataFrame, size: int, percent: int, task_weight: int) -> DataFrame:
+    """``cell, node`` with cells over ``task_weight`` divided, as long as that halves what is in them.
+
+    Nodes that share no finer region with another one have no link and are left out.
+    """
+    weight = None
+    while True:
+        totals = cells.join(sizes, "node").groupBy("cell").agg(F.sum("weight").alias("total"), F.count("*").alias("nodes"))
+        heavy = staged(totals.where((F.col("total") > task_weight) & (F.col("nodes") > 1)).select("cell", "total"), "heavy")
+        now = heavy.agg(F.sum("total")).first()[0] or 0
+        if not now or (weight is not None and 2 * now > weight):
+            return cells
+        weight = now
+        crowded = staged(cells.join(heavy.select("cell"), "cell", "left_semi").select("cell", "node"), "crowded")
+        finer = crowded.join(finer_regions(texts, crowded.select("node"), size, percent), "node")
+        finer = finer.select(F.unhex(F.md5(F.concat("cell", "root"))).alias("cell"), "node")
+        rest = cells.join(heavy.select("cell"), "cell", "left_anti").select("cell", "node")
+        cells = staged(rest.union(finer), "regions")
+
+
 def jaccard_components(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -224,34 +295,26 @@ def jaccard_components(
     """
     sets = staged(shingle_sets(documents, id_col, text_col, size, percent), "sets")
     entries = sets.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), F.col("digest").alias("node"))
-    cells = staged(components(equal_key_links(entries)), "regions")
+    regions = components(equal_key_links(entries)).select(F.col("root").alias("cell"), "node")
+    texts = documents.select(F.col(text_col).cast("string").alias("text"))
+    sizes = sets.where("digest IS NOT NULL").groupBy(F.col("digest").alias("node")).agg(F.first("n_shingles").alias("weight"))
+    cells = divide_heavy(staged(regions, "regions"), sizes, texts, size, percent, task_weight)
 
     # the sets themselves are built again, for those that share a region
     full = bitmap(cells.select("node"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = _WordHashes(), set()
-        for batch in slices(batches):
-            found: dict[bytes, bytes] = {}
-            for text in batch_bytes(batch.column(0)):
-                payload = shingle_set(text, size, hashes).tobytes()
-                if payload:
-                    node = xxhash.xxh3_128_digest(payload)
-                    if node not in seen and possible(full.value, [node])[0]:
-                        seen.add(node)
-                        found[node] = payload
+        for found in sets_among(batches, size, full.value):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(found), pa.binary()),
-                    pa.array(list(found.values()), pa.binary()),
-                    pa.array([len(x) // 8 for x in found.values()], pa.int64()),
+                    pa.array([s.tobytes() for s in found.values()], pa.binary()),
+                    pa.array([len(s) for s in found.values()], pa.int64()),
                 ],
                 ["node", "payload", "weight"],
             )
 
-    rows = documents.select(F.col(text_col).cast("string").alias("text"))
-    built = rows.mapInArrow(build, "node binary, payload binary, weight long")
-    built = built.join(cells, "node").withColumnRenamed("root", "cell")
+    built = texts.mapInArrow(build, "node binary, payload binary, weight long").join(cells, "node")
     built = built.groupBy("cell", "node").agg(F.first("payload").alias("payload"), F.first("weight").alias("weight"))
     groups = components(cell_links(built, jaccard_links(percent), task_weight))
 
