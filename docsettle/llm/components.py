@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -100,7 +101,15 @@ def batch_bytes(column: pa.Array) -> list[bytes | None]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Parts of the batches, so that few texts are in pieces at once."""
+    """Parts of the batches, so that few texts are in pieces at once.
+
+    Workers live on between tasks, so what was freed goes back to the system after each batch.
+    """
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     for batch in batches:
         for begin in range(0, batch.num_rows, rows):
             yield batch.slice(begin, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsettle.llm.components import slices
 from docsettle.llm.tokens import worker_encoder
 from docsettle.session import staged
 
@@ -50,26 +51,24 @@ def pieces(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer_path)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
-                for row, text in enumerate(part.column(1).to_pylist()):
-                    found = encoder.ids(text or "") + END
-                    for number, (start, length) in enumerate(cut(len(found) // 4, capacity)):
-                        own = found[4 * start : 4 * (start + length)]
-                        rows.append(row), numbers.append(number), starts.append(start), lengths.append(length)
-                        sums.append(zlib.crc32(own)), ids.append(own if with_ids else None)
-                columns = {
-                    "id": part.column(0).take(pa.array(rows, pa.int64())),
-                    "piece": pa.array(numbers, pa.int32()),
-                    "start": pa.array(starts, pa.int64()),
-                    "length": pa.array(lengths, pa.int64()),
-                    "ids_crc32": pa.array(sums, pa.int64()),
-                }
-                if with_ids:
-                    columns["ids"] = pa.array(ids, pa.binary())
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        for part in slices(batches, 512):
+            rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
+            for row, text in enumerate(part.column(1).to_pylist()):
+                found = encoder.ids(text or "") + END
+                for number, (start, length) in enumerate(cut(len(found) // 4, capacity)):
+                    own = found[4 * start : 4 * (start + length)]
+                    rows.append(row), numbers.append(number), starts.append(start), lengths.append(length)
+                    sums.append(zlib.crc32(own)), ids.append(own if with_ids else None)
+            columns = {
+                "id": part.column(0).take(pa.array(rows, pa.int64())),
+                "piece": pa.array(numbers, pa.int32()),
+                "start": pa.array(starts, pa.int64()),
+                "length": pa.array(lengths, pa.int64()),
+                "ids_crc32": pa.array(sums, pa.int64()),
+            }
+            if with_ids:
+                columns["ids"] = pa.array(ids, pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kind = rows.schema["id"].dataType.simpleString()
     ids = ", ids binary" if with_ids else ""
