@@ -45,7 +45,10 @@ def to_column(expression: str, columns: Sequence[str]) -> Column:
 def register_sql_functions(spark: SparkSession) -> None:
     """Temporary SQL functions for use inside declared expressions, once per session.
 
-    They are SQL bodies, which Catalyst inlines; no Python runs per row.
+    They are SQL bodies, which Catalyst inlines; no Python runs per row. ``safe_double`` takes
+    no type suffixes such as ``1d``, ``safe_ts`` needs a full calendar date, ``strip_first``
+    removes the first character that is neither digit nor dot, and ``day_month`` completes
+    ``d MMMM`` with a given year; what cannot be read is null.
     """
     double_body = (
         f"CASE WHEN NOT (s RLIKE r'{scalars.TYPE_SUFFIX}' AND NOT s RLIKE r'{scalars.NOT_FINITE}') "

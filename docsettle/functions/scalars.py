@@ -69,35 +69,6 @@ def due_date(issued: Column, days: int = DUE_DAYS) -> Column:
     return F.coalesce(F.date_add(day, days).cast("string"), issued)
 
 
-def safe_double(text: Column) -> Column:
-    """Lenient cast; type suffixes such as ``1d`` are no numbers."""
-    text = text.cast("string")
-    suffixed = text.rlike(TYPE_SUFFIX) & ~text.rlike(NOT_FINITE)
-    return F.when(~suffixed, text.try_cast("double"))
-
-
-def safe_ts(text: Column) -> Column:
-    """Lenient cast to a timestamp without zone; needs a full calendar date."""
-    text = text.cast("string")
-    return F.when(text.rlike(DATE_PREFIX), text.try_cast("timestamp_ntz"))
-
-
-def strip_first(text: Column) -> Column:
-    """Remove the first character that is neither digit nor dot."""
-    return F.regexp_replace(text, FIRST_NON_AMOUNT, "$1")
-
-
-def day_month(text: Column, year: int | Column) -> Column:
-    """``d MMMM`` text completed with a given year; null where it is no date."""
-    year = F.lit(year).cast("string") if isinstance(year, int) else year.cast("string")
-    full = F.concat_ws(" ", F.initcap(F.trim(text)), year)
-    return F.try_to_timestamp(full, F.lit("d MMMM yyyy"))
-
-
-def iso_date(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd")
-
-
 def non_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
@@ -106,8 +77,3 @@ def or_default(text: Column, default: str | Column) -> Column:
     """``default`` where the text is null or empty."""
     default = F.lit(default) if isinstance(default, str) else default
     return F.coalesce(non_empty(text), default)
-
-
-def same_name(left: Column, right: Column) -> Column:
-    """Equality without regard to case."""
-    return F.lower(left) == F.lower(right)

@@ -72,7 +72,7 @@ def _all_fit(items: Column, casted: Column, kind: str) -> Column:
 def _parsed(payloads: DataFrame) -> DataFrame:
     """Adds ``objects``, ``entries`` (of pairs) and ``given`` headers, null where absent.
 
-    The body is parsed once. Numbers come out in their plain form, 2.50 as 2.5.
+    Numbers come out in their plain form, 2.50 as 2.5.
     """
     data = F.coalesce(
         F.try_variant_get("_v", "$.data", "array<variant>"),
@@ -144,12 +144,6 @@ def row_value(name: Column) -> Column:
     return _value_of(F.col("row.keys"), F.col("row.vals"), name)
 
 
-def payload_rows(payloads: DataFrame) -> DataFrame:
-    """Rows of all readable payloads: the key columns, ``row_no``, ``names``, ``vals``."""
-    rows = block_rows(payload_blocks(payloads))
-    return rows.withColumn("vals", F.transform("names", row_value)).drop("row")
-
-
 def unreadable_payloads(payloads: DataFrame) -> DataFrame:
     """Payloads in none of the three envelopes.
 

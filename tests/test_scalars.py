@@ -4,12 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsettle.functions import scalars
+from docsettle.functions.expressions import register_sql_functions
 
 
 def check(values, function, cases):
     assert values(function, list(cases)) == list(cases.values())
 
 
+@pytest.fixture
+def declared(spark):
+    """An expression over the text ``t`` as declared ones are written."""
+    register_sql_functions(spark)
+    return lambda text: lambda _: F.expr(text)
+
+
 def test_document_id(values):
     check(
         values,
@@ -61,10 +69,10 @@ def test_due_date(values):
     )
 
 
-def test_strip_first(values):
+def test_strip_first(values, declared):
     check(
         values,
-        lambda t: scalars.safe_double(scalars.strip_first(t)),
+        declared("safe_double(strip_first(t))"),
         {
             "-1234.5": 1234.5, "-1,234.5": None, "Rs 12": None, "₹1234": 1234.0,
             "(500)": None, "1234": 1234.0,
@@ -72,16 +80,16 @@ def test_strip_first(values):
     )
 
 
-def test_safe_double_refuses_type_suffixes(values):
+def test_safe_double_refuses_type_suffixes(values, declared):
     cases = {"1d": None, "1F": None, "2.5 D ": None, "1e3": 1000.0, " 7 ": 7.0, "x": None}
-    check(values, scalars.safe_double, cases)
-    assert values(scalars.safe_double, ["inf", "-Infinity"]) == [float("inf"), float("-inf")]
+    check(values, declared("safe_double(t)"), cases)
+    assert values(declared("safe_double(t)"), ["inf", "-Infinity"]) == [float("inf"), float("-inf")]
 
 
-def test_safe_ts_needs_a_full_date(values):
+def test_safe_ts_needs_a_full_date(values, declared):
     check(
         values,
-        scalars.safe_ts,
+        declared("safe_ts(t)"),
         {
             "2026": None, "2026-01": None, "2026-1-2": dt.datetime(2026, 1, 2),
             "2026-01-02 03:04:05+05:30": dt.datetime(2026, 1, 2, 3, 4, 5), "2026-02-30": None,
@@ -89,11 +97,10 @@ def test_safe_ts_needs_a_full_date(values):
     )
 
 
-@pytest.mark.parametrize("function", [scalars.day_month])
-def test_day_month(values, function):
+def test_day_month(values, declared):
     cases = {" 9 February ": dt.datetime(2024, 2, 9), "29 FEBRUARY": dt.datetime(2024, 2, 29), "x": None}
-    check(values, lambda t: function(t, 2024), cases)
-    assert values(lambda t: function(t, 2023), ["29 February"]) == [None]
+    check(values, declared("day_month(t, 2024)"), cases)
+    assert values(declared("day_month(t, 2023)"), ["29 February"]) == [None]
 
 
 def test_clean_name(values):
@@ -101,6 +108,5 @@ def test_clean_name(values):
     check(values, scalars.clean_name, cases)
 
 
-def test_defaults_and_same_name(values):
+def test_defaults(values):
     assert values(lambda t: scalars.or_default(t, "d"), ["", None, "x"]) == ["d", "d", "x"]
-    assert values(lambda t: scalars.same_name(t, F.lit("ACME")), ["acme", "acm"]) == [True, False]
