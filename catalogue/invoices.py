@@ -199,6 +199,40 @@ def correspondent_and_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.withColumn("custom_fields", F.array_join(flat, "|"))
 
 
+@query(
+    "correspondents_created",
+    _INVOICES
+    + """,
+    known AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'vendor ' ELSE 'other ' END || c_custkey AS k,
+                     c_custkey + 7 AS id FROM customer),
+    keys AS (SELECT lower(supplier) AS k, arg_min(supplier, o_orderkey) AS name
+             FROM r WHERE supplier <> '' GROUP BY 1)
+    SELECT (SELECT max(id) FROM known) + row_number() OVER (ORDER BY md5(keys.k), keys.k) AS id,
+           keys.name
+    FROM keys LEFT JOIN known USING (k) WHERE known.id IS NULL
+    """,
+)
+def correspondents_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bills(spark, sf_dir).new_correspondents
+
+
+@query(
+    "bill_ledger",
+    _INVOICES
+    + """
+    SELECT 'bill' AS kind, o_orderkey AS document_id, TIMESTAMP '2024-06-30 12:00:00' AS created_at,
+           'scan' || o_orderkey || '.pdf' AS filename, supplier, invoice_date AS date,
+           CASE WHEN regexp_full_match(total_amount, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)')
+                THEN CAST(total_amount AS DOUBLE) ELSE 0 END AS total_amount,
+           CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE o_orderpriority END AS extracted_text
+    FROM r
+    """,
+)
+def bill_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON text, which comes from this query's own input, is left out."""
+    return _bills(spark, sf_dir).ledger.drop("raw_ocr_data")
+
+
 def statement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64 events to a statement, each event one table item, in the order of the events.
 
@@ -345,6 +379,31 @@ def statement_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _statements(spark, sf_dir).transactions
 
 
+@query(
+    "statement_updates",
+    """
+    SELECT DISTINCT event_id // 64 AS document_id, 'statement ' || (event_id // 64) AS content FROM events
+    """,
+)
+def statement_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _statements(spark, sf_dir).updates
+
+
+@query(
+    "statement_ledger",
+    """
+    SELECT DISTINCT 'statement' AS kind, event_id // 64 AS document_id,
+           TIMESTAMP '2024-06-30 12:00:00' AS created_at,
+           'http://h/documents/' || (event_id // 64) || '/' AS filename, '' AS supplier, '' AS date,
+           CAST(0 AS DOUBLE) AS total_amount, 'statement ' || (event_id // 64) AS extracted_text
+    FROM events
+    """,
+)
+def statement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON text, which comes from this query's own input, is left out."""
+    return _statements(spark, sf_dir).ledger.drop("raw_ocr_data")
+
+
 @query(
     "currency_minor_units",
     """

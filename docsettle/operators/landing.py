@@ -75,11 +75,13 @@ def first_columns(headers: DataFrame, window: Range | None) -> list[str]:
 def first_payload_columns(payloads: DataFrame) -> list[str]:
     """As :func:`first_columns`: the names of the first payload that has any.
 
-    Mostly that is the first payload, so only its body is parsed for it.
+    Mostly that is the first payload, so only its body is read and parsed for it; the least
+    id comes from the ids alone.
     """
-    first = payloads.agg(
-        F.min("document_id").alias("document_id"), F.min_by("body", "document_id").alias("body")
-    )
+    least = payloads.agg(F.min("document_id").alias("least")).first()["least"]
+    if least is None:
+        return []
+    first = payloads.where(F.col("document_id") == least)
     for candidates in (first, payloads):
         named = payload_blocks(candidates).where(F.size("names") > 0)
         found = named.agg(F.min_by("names", "document_id").alias("names")).first()

@@ -6,7 +6,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from docsettle.operators import dims, entities, ledger
 from docsettle.session import staged
@@ -24,25 +23,21 @@ class Statements:
 def run_statements(
     documents: DataFrame, accounts: DataFrame, as_of: dt.date, created_at: Column
 ) -> Statements:
-    """Accounts are resolved per document, before its items are taken apart.
+    """Items are taken apart once and staged, with their bank's name, by which they get its account.
 
-    Only the banks' names are staged for that; the join back is between single documents.
-
-    A document without any transaction gets no account; one without a readable entity list
+    Every result has one row per document or item, however often a document is given. A
+    document without any transaction gets no account; one without a readable entity list
     is in ``rejects`` and nowhere else.
     """
-    rejects = entities.unreadable_entities(documents)
+    rejects = entities.unreadable_entities(documents).dropDuplicates(["document_id"])
     documents = entities.readable_entities(documents)
-    decoded = entities.decode_entities(documents)
-    owned = decoded.where(entities.has_transactions(F.col("entities")))
-    banks = staged(entities.bank_names(owned).select("document_id", "bank_name"), "banks")
-    owners = dims.get_or_create_accounts(banks, accounts)
-    with_account = decoded.join(owners.rows.select("document_id", "account_id"), "document_id")
-    found = entities.extract_transactions(with_account, "account_id")
+    decoded = entities.bank_names(entities.decode_entities(documents))
+    items = entities.extract_transactions(decoded, "bank_name").dropDuplicates(["document_id", "item_no"])
+    owned = dims.get_or_create_accounts(staged(items, "items"), accounts)
     return Statements(
-        entities.transaction_records(found, as_of),
-        owners.created,
-        entities.content_updates(documents),
-        ledger.statement_ledger(documents, created_at),
+        entities.transaction_records(owned.rows, as_of),
+        owned.created,
+        entities.content_updates(documents).dropDuplicates(["document_id"]),
+        ledger.statement_ledger(documents, created_at).dropDuplicates(["document_id"]),
         rejects,
     )

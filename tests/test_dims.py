@@ -8,7 +8,7 @@ from docsettle.operators.landing import write_table
 @pytest.fixture
 def contacts(spark):
     return spark.createDataFrame(
-        [(10, "Acme Corp", "vendor"), (11, "ACME corp", "vendor"), (12, "Beta", "vendor"), (13, "New Co", "customer")],
+        [(10, "Harbour Ropes", "vendor"), (11, "HARBOUR ropes", "vendor"), (12, "Beta", "vendor"), (13, "New Co", "customer")],
         "id bigint, name string, type string",
     )
 
@@ -21,7 +21,7 @@ def vendors(spark, contacts, names):
 
 
 def test_vendors(spark, contacts):
-    ids, created = vendors(spark, contacts, ["acme CORP", "New Co", "NEW co", "", None, "beta"])
+    ids, created = vendors(spark, contacts, ["harbour ROPES", "New Co", "NEW co", "", None, "beta"])
     made = {r["name"]: r["id"] for r in created.collect()}
     assert set(made) == {"New Co", "Unknown Vendor"}
     assert set(made.values()) == {14, 15}

@@ -1,14 +1,16 @@
 import pytest
+from pyspark.sql import functions as F
 
 from docsettle.operators import landing
 from docsettle.plans.payouts import settle_payloads
 from docsettle.sources.config import platforms_from_json
-from docsettle.sources.payloads import payload_blocks, payload_rows, unreadable_payloads
+from docsettle.sources.payloads import block_rows, payload_blocks, row_value, unreadable_payloads
 
 
 def parse(spark, *bodies):
     frame = spark.createDataFrame(list(enumerate(bodies)), "document_id bigint, body string")
-    rows = payload_rows(frame).orderBy("document_id", "row_no").collect()
+    rows = block_rows(payload_blocks(frame)).withColumn("vals", F.transform("names", row_value))
+    rows = rows.orderBy("document_id", "row_no").collect()
     return [(r["document_id"], r["row_no"], r["names"], r["vals"]) for r in rows], frame
 
 
@@ -40,18 +42,18 @@ def test_line_break_in_a_name(spark):
 
 def test_first_row_decides_the_order_even_if_it_is_dropped(spark):
     body = (
-        '{"data": [{"Zebra": "#REF!", "Apple": 2, "Mango": 3}, {"Mango": 6, "Apple": 5, "Zebra": 4},'
-        ' {"Zebra": 7, "Apple": "#REF!"}, {"Zebra": "a #REF!"}]}'
+        '{"data": [{"tide": "#REF!", "berth": 14, "crane": 15}, {"crane": 26, "berth": 25, "tide": 24},'
+        ' {"tide": 37, "berth": "#REF!"}, {"tide": "near #REF!"}]}'
     )
-    names = ["Zebra", "Apple", "Mango"]
+    names = ["tide", "berth", "crane"]
     found, _ = parse(spark, body)
-    assert found == [(0, 2, names, ["4", "5", "6"]), (0, 4, names, ["a #REF!", None, None])]
+    assert found == [(0, 2, names, ["24", "25", "26"]), (0, 4, names, ["near #REF!", None, None])]
 
 
 def test_pairs_become_one_row(spark):
     body = (
-        '{"data": [["Report period", "09 Feb 2026 - 15 Feb 2026"], ["Res id", "22244451"],'
-        ' ["Total Orders \\n(Delivered)", 11], ["Net", 8115.91], ["Res id", "9"], ["x"], [5, 6],'
+        '{"data": [["Quarter", "April to June"], ["Depot", "north"],'
+        ' ["Crates \\n(unloaded)", 42], ["Weight", 310.75], ["Depot", "south"], ["x"], [5, 6],'
         ' [" ", 1], null], "sheet": "Summary"}'
     )
     found, _ = parse(spark, body)
@@ -59,8 +61,8 @@ def test_pairs_become_one_row(spark):
         (
             0,
             1,
-            ["Report period", "Res id", "Total Orders  (Delivered)", "Net"],
-            ["09 Feb 2026 - 15 Feb 2026", "9", "11", "8115.91"],
+            ["Quarter", "Depot", "Crates  (unloaded)", "Weight"],
+            ["April to June", "south", "42", "310.75"],
         )
     ]
 
