@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from docsettle.llm import cells, components, decontaminate, jaccard, lines, ngrams, offsets, packing, pages, quality, sharding, tokens, warc
+from docsettle.llm import cells, components, decontaminate, jaccard, lines, ngrams, offsets, packing, pages, quality, sharding, sketch, tokens, warc
 from docsettle.llm.queries import token_file
 
 WORDS = [a + b for a in "ka lo mi nu pe ri sa to vu xe".split() for b in ("", "ba", "do", "gi")]
@@ -59,7 +59,7 @@ def shingles(text, size):
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
 
 
-@pytest.mark.parametrize(("size", "percent", "weight"), [(3, 90, 2_000_000), (5, 80, 2_000_000), (3, 90, 300)])
+@pytest.mark.parametrize(("size", "percent", "weight"), [(3, 90, 2_000_000), (5, 80, 2_000_000), (3, 90, 300), (5, 80, 300)])
 def test_jaccard(docs, rows, size, percent, weight):
     sets = {}
     for i, t, *_ in rows:
@@ -86,6 +86,28 @@ def test_jaccard(docs, rows, size, percent, weight):
     assert sorted(found, key=str) == sorted(wanted, key=str)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_least_common_shingles_of_linked_sets_meet(percent):
+    """Whatever the counts, ties included, two sets within the radius have a region in common."""
+    rng = np.random.default_rng(7)
+    counts = rng.integers(0, 3, sketch.COUNTERS).astype(np.uint32)
+    for _ in range(300):
+        shared = rng.integers(0, 1 << 62, rng.integers(1, 60)).astype(np.uint64)
+        own = [rng.integers(0, 1 << 62, rng.integers(0, 12)).astype(np.uint64) for _ in range(2)]
+        a, b = (np.unique(np.concatenate([shared, o])) for o in own)
+        inter, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if 100 * inter >= percent * union:
+            assert set(jaccard.least_common(a, counts, percent)) & set(jaccard.least_common(b, counts, percent))
+
+
+def test_counters_add_up_over_tasks(spark):
+    frame = spark.range(3000).selectExpr("id % 1000 AS h").repartition(3)
+    found = sketch.counters(frame, lambda batches: (b.column(0).to_numpy().astype(np.uint64) for b in batches)).value
+    assert (sketch.tally(found, np.arange(1000, dtype=np.uint64)) == 3).all()
+    assert found.sum() == 3000
+    assert sketch.counters(frame.limit(0), lambda batches: iter(())).value.sum() == 0
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (7, 7)], "a bigint, b bigint")
     found = {r["node"]: r["root"] for r in components.components(edges).collect()}
