@@ -165,6 +165,54 @@ def test_line_dedup(spark, weight):
     assert {r[1] for r in got if r[0] == 21} == {None} and {r[1] for r in got if r[0] == 22} == {"short line\nshort line"}
 
 
+def edited(rng, line):
+    """A line with one word in ten replaced, and one with a character in twenty."""
+    words = line.split()
+    for i in rng.sample(range(len(words)), max(1, len(words) // 10)):
+        words[i] = "".join(rng.choices("bcdfgh", k=4))
+    chars = list(line)
+    for i in rng.sample(range(len(chars)), len(chars) // 20):
+        chars[i] = rng.choice("qwxz")
+    return [" ".join(words), " ".join("".join(chars).split())]
+
+
+def test_line_sketches_find_near_lines():
+    rng = random.Random(2)
+    letters = ["".join(rng.choices("aeiourstlnmdkp", k=rng.randint(2, 8))) for _ in range(3000)]
+    base = [" ".join(rng.choices(letters, k=rng.randint(8, 60))) for _ in range(400)]
+    base += ["".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(40)) for _ in range(100)]
+    for _, rows, bands, agree in lines._PLANS[:2]:
+        met = ([], [])  # of the lines with words and with characters replaced, as far as they are near
+        for a in base:
+            for kind, b in enumerate(edited(rng, a)):
+                if lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)):
+                    hit = False
+                    for use, size in ((max(len(a), len(b)) <= 75, 4), (min(len(a), len(b)) >= 60, 6)):
+                        if use:
+                            marks, keys = lines.sketch([a, b], size, rows, bands)
+                            hit |= (keys[0] == keys[1]).any() and lines.near_marks(*marks.view(np.uint64), agree)
+                    met[kind].append(bool(hit))
+        assert min(map(len, met)) >= 300 and np.mean(met[0]) >= 0.95 and np.mean(met[1]) >= 0.9
+    chance = [lines.sketch([a, b], 6, 3, 20) for a, b in zip(base[:399], base[1:400], strict=True) if min(len(a), len(b)) >= 60]
+    assert sum((keys[0] == keys[1]).any() for _, keys in chance) <= 4
+
+
+def test_minhashes_of_long_lines_in_parts(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcd 好", k=n)) for n in (9, 100, 257, 1000)]
+    whole = lines.minhashes(texts, 6, 74)
+    monkeypatch.setattr(lines, "_SPLIT", 16)
+    assert (lines.minhashes(texts, 6, 74) == whole).all()
+
+
+def test_near_lines(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve"
+    texts = [line, line.replace("eight", "other"), "another line of five words"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = lines.dedup_lines(frame, max_bits=None)
+    assert [r["dropped_lines"] for r in found.orderBy("doc_id").collect()] == [0, 1, 0]
+
+
 def brute_hits(text, items, size=13):
     words = decontaminate.words_of(None if text is None else text.encode())
     hit, found = set(), set()
