@@ -155,7 +155,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docsettle.llm.lines import dedup_lines
 
-    found = dedup_lines(table(spark, sf_dir, "documents"), max_bits=None)
+    found = dedup_lines(table(spark, sf_dir, "documents"), min_words=1, max_bits=None)
     return found.select("doc_id", "text", "dropped_lines")
 
 

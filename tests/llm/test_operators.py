@@ -213,6 +213,16 @@ def test_near_lines(spark):
     assert [r["dropped_lines"] for r in found.orderBy("doc_id").collect()] == [0, 1, 0]
 
 
+def test_near_and_short_lines(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve"
+    other = "one two three four five six seven other nine ten eleven twelve"
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(40))
+    texts = [line, other, "all rights reserved", "All rights reserved.", "!", "!", han, han, han[:20] + "口" + han[21:], "another line"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = lines.dedup_lines(frame, min_words=1, max_bits=None)
+    assert [r["dropped_lines"] for r in found.orderBy("doc_id").collect()] == [0, 1, 0, 1, 0, 0, 0, 1, 1, 0]
+
+
 def brute_hits(text, items, size=13):
     words = decontaminate.words_of(None if text is None else text.encode())
     hit, found = set(), set()
