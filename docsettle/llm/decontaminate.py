@@ -1,9 +1,11 @@
 """Benchmark passages in training texts, found by a suffix automaton over all items.
 
 The automaton holds every run of words of every item, in a number of states bounded by twice
-the items' words; the stated bound of ``MAX_ITEM_WORDS`` words keeps it small enough to travel
-with each task. A text is streamed through it once; the state tells the longest run that ends
-at each word. Memory per task is the automaton and one batch of texts.
+the items' words. Items of more than ``MAX_ITEM_WORDS`` words are cut into blocks of at most so
+many (or one longer item), an automaton each, small enough to travel with each task. A text is
+streamed through a block's automaton once; the state tells the longest run that ends at each word.
+Several blocks scan in turn, and what they find is merged by row. Memory per task is one automaton
+and one batch of texts.
 """
 
 from __future__ import annotations
@@ -157,15 +159,32 @@ class Automaton:
         return spans, items
 
 
-def automaton_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW) -> Automaton:
-    """The automaton of a benchmark of at most ``MAX_ITEM_WORDS`` words; a larger one is an error."""
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int | None = None) -> Iterator[list]:
+    """Items with their words, in blocks of at most ``words`` words (``MAX_ITEM_WORDS``) or one longer item."""
+    words = words or MAX_ITEM_WORDS
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    rough = items.agg(F.sum(F.length("t"))).first()[0] or 0  # a word has a character at least, and a blank
-    if rough > 2 * MAX_ITEM_WORDS:
-        raise ValueError(f"benchmark items of {rough} characters; the automaton holds {MAX_ITEM_WORDS} words")
-    rows = items.where("t IS NOT NULL AND i IS NOT NULL").distinct().collect()
-    return Automaton([(row["i"], words_of(row["t"].encode())) for row in sorted(rows)], size)
-
+    rows = items.where("t IS NOT NULL AND i IS NOT NULL").distinct().orderBy("i", "t")
+    block, held = [], 0
+    for row in rows.toLocalIterator():
+        own = words_of(row["t"].encode())
+        if block and held + len(own) > words:
+            yield block
+            block, held = [], 0
+        if own:
+            block.append((row["i"], own))
+            held += len(own)
+    yield block
+
+
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(spans):
+        if out and out[-1][1] >= begin:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
 
 
 def _word_bounds(text: bytes) -> list[tuple[int, int]]:
@@ -191,6 +210,7 @@ def decontaminate(
     max_coverage: float = 0.05,
     max_span: int | None = None,
     with_text: bool = True,
+    block_words: int | None = None,
 ) -> DataFrame:
     """What of each text is in the benchmark, one row per input row.
 
@@ -204,22 +224,32 @@ def decontaminate(
     A null or empty text has no words and is not contaminated. Items without words, null items
     and null item ids match nothing; equal texts under several ids are several items; an id with
     several texts, or repeated, counts once. An empty benchmark leaves all as it is. Columns outside
-    ``carry`` are not read.
+    ``carry`` are not read. ``block_words`` bounds the words of one automaton's items.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(automaton_of(benchmark, size=size))
+    context = documents.sparkSession.sparkContext
+    blocks = [context.broadcast(Automaton(x, size)) for x in item_blocks(benchmark, words=block_words)]
     parts = round(max_coverage * 10_000)
     keep = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)), F.col(text_col).cast("string").alias("t"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
         for batch in batches:
+            texts = batch_bytes(batch.column(batch.num_columns - 1))
+            hits: list[tuple[list, set]] = [([], set()) for _ in texts]
+            for shared in blocks:
+                automaton = shared.value
+                for (spans, names), text in zip(hits, texts, strict=True):
+                    more, items = automaton.scan(words_of(text))
+                    spans.extend(more), names.update(automaton.names[k] for k in items)
+                if len(blocks) > 1 and getattr(shared, "_path", None):
+                    del automaton
+                    shared.__dict__.pop("_value", None)  # read again from its file for the next batch
             out: dict[str, list] = {n: [] for n in ("w", "h", "i", "s", "bad", "spans", "clean")}
-            for text in batch_bytes(batch.column(batch.num_columns - 1)):
+            for (spans, items), text in zip(hits, texts, strict=True):
                 words = words_of(text)
-                spans, items = automaton.scan(words)
+                spans = merged_spans(spans)
                 hit = sum(end - begin for begin, end in spans)
                 bad = hit > 0 and 10_000 * hit >= parts * len(words)
-                names = sorted({automaton.names[k] for k in items})
+                names = sorted(items)
                 out["w"].append(len(words)), out["h"].append(hit), out["i"].append(len(names))
                 out["s"].append(hashlib.sha256(",".join(names).encode()).hexdigest())
                 out["bad"].append(bad)

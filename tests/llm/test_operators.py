@@ -256,6 +256,17 @@ def test_decontaminate(spark, docs, rows):
     assert decontaminate.without_spans(b"a b, c d", [(1, 2)]) == b"a c d"
 
 
+def test_decontaminate_by_blocks_of_items(spark, docs, monkeypatch):
+    rng = random.Random(1)
+    items = [(f"i{k}", " ".join(rng.choices(WORDS, k=rng.randint(2, 30)))) for k in range(12)]
+    bench = spark.createDataFrame([*items, ("blank", " - ")], "item_id string, text string")
+    whole = decontaminate.decontaminate(docs, bench, max_span=13)
+    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 20)
+    assert len(list(decontaminate.item_blocks(bench))) > 3
+    parts = decontaminate.decontaminate(docs, bench, max_span=13)
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_quality(docs, rows, empty):
     found = {(r["doc_id"], r["n_words"]): r for r in quality.assess(docs).collect()}
     for i, t, *_ in rows:
