@@ -188,3 +188,60 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+OP11_SQL = r"""
+WITH bytes AS (
+  SELECT list(c::BIGINT ORDER BY b) AS crc_of FROM (
+    WITH RECURSIVE steps(b, k, c) AS (
+      SELECT b, 0, b FROM range(256) AS r(b)
+      UNION ALL
+      SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM steps WHERE k < 8
+    )
+    SELECT b, c FROM steps WHERE k = 8)
+),
+texts AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark)
+),
+runs AS (
+  SELECT kind, id, array_to_string(ws[p:p + k], ' ') AS feature
+  FROM texts, range(3) AS o(k), unnest(range(1, len(ws) - k + 1)) AS u(p)
+),
+counted AS (SELECT kind, id, feature, count(*) AS n FROM runs GROUP BY ALL),
+hexed AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM counted)),
+buckets AS (
+  SELECT feature, xor(list_reduce(
+      list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT),
+      lambda a, x: xor(a // 256, crc_of[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM hexed, bytes
+),
+f AS (SELECT kind, id, bucket, sum(n)::BIGINT AS n FROM counted JOIN buckets USING (feature) GROUP BY ALL),
+totals AS (SELECT sum(n) FILTER (kind = 'd')::DOUBLE AS s_all, sum(n) FILTER (kind = 't')::DOUBLE AS t_all FROM f),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain
+  FROM (SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s,
+               coalesce(sum(n) FILTER (kind = 't'), 0)::DOUBLE AS t FROM f GROUP BY bucket), totals
+),
+weighed AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM f JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM texts LEFT JOIN weighed USING (id) WHERE kind = 'd'
+),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, rank FROM scored
+LEFT JOIN (SELECT * FROM drawn WHERE rank <= (SELECT 5 * count(*) // 100 FROM drawn)) USING (doc_id)
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.resampling import importance_resample
+
+    found = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
