@@ -245,3 +245,89 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+#: Rules of the query (host, path, verdict): fixed values.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+#: Names of sites that the query lists wherever pages have one of them.
+LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+
+OP13_SQL = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+         translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+),
+fits AS (
+  SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM parts AS p JOIN rules AS r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY n
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN list_has_any(
+         CASE WHEN len(string_split(host, '.')) > 2 THEN string_split(host, '.')[-3:-3] ELSE [] END,
+         ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fits USING (n)
+"""
+
+
+@query("op13_bloom_cascade", OP13_SQL)
+def op13_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed keys are the sites (three labels) that any page has under one of the listed names."""
+    from docsettle.llm.urls import judge_urls, url_parts
+
+    pages = table(spark, sf_dir, "pages")
+    site = F.substring_index(url_parts(F.col("url"))[0], ".", -3)
+    sites = pages.select(site.alias("host"), F.lit("").alias("path")).distinct()
+    parts = F.split("host", r"\.")
+    listed = sites.where((F.size(parts) > 2) & parts[0].isin(LISTED_SITES))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(pages, rules, listed).withColumnRenamed("id", "page_id")
+
+
+OP12_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * v.q[i]))::BIGINT AS score
+  FROM v AS a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_four_russians", OP12_SQL)
+def op12_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docsettle.llm.negatives import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
