@@ -27,3 +27,5 @@ LEDGER = (
 REQUESTS = "kind string, doc_url string, received_at timestamp_ntz"
 
 LANDING_COLUMNS = "table_name string, columns array<string>"
+
+REJECTS = "kind string, document_id bigint, import_no int, reason string"

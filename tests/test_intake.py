@@ -71,3 +71,61 @@ def test_stream_over_runs(spark, tmp_path):
         stream = intake.request_stream(spark, source, "parquet", maxFilesPerTrigger="1")
         intake.run_intake(stream, root, str(tmp_path / "cp"), flows()).awaitTermination()
     assert in_ledger(spark, root) == sorted(EXPECTED)
+
+
+def run(spark, tmp_path, flows_, *batches, files="9"):
+    """The stream over what comes in, a file per batch of rows."""
+    source, root = str(tmp_path / "log"), str(tmp_path / "out")
+    for batch in batches:
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    stream = intake.request_stream(spark, source, "parquet", maxFilesPerTrigger=files)
+    intake.run_intake(stream, root, str(tmp_path / "cp"), flows_).awaitTermination()
+    return root
+
+
+def test_repeats_across_batches_and_a_restart(spark, tmp_path):
+    """State drops repeats before the batch; files come one by one, then from the checkpoint on."""
+    root = run(spark, tmp_path, flows(), *BATCHES, files="1")
+    assert in_ledger(spark, root) == sorted(EXPECTED)
+    received = read_table(spark, root, "received").where("document_id IS NOT NULL AND kind <> 'other'")
+    assert received.count() == len(EXPECTED)  # no repeat has reached a batch
+    run(spark, tmp_path, flows(), requests(("bill", "/d/1/", 20), ("bill", "/d/9/", 22), ("bill", "/d/9/", 21)))
+    assert in_ledger(spark, root) == sorted({*EXPECTED, ("bill", 9, 3)})
+    assert read_table(spark, root, "received").where("document_id = 9").collect()[0]["received_at"].minute == 21
+
+
+def test_rejected_documents_are_open_again(spark, tmp_path):
+    """The first time a flow rejects a document, the second time it takes it."""
+
+    def bills(requests_, batch_id):
+        bad = requests_.where("document_id = 1 AND minute(received_at) < 10")
+        rejects = bad.selectExpr("document_id", "CAST(NULL AS int) AS import_no", "'bad' AS reason")
+        good = requests_.join(bad, "document_id", "left_anti")
+        return {"ledger": _ledger(good, ledger.bill_ledger), "rejects": rejects}
+
+    first = requests(("bill", "/d/1/", 1), ("bill", "/d/2/", 2))
+    root = run(spark, tmp_path, {"bill": bills}, first)
+    assert in_ledger(spark, root) == [("bill", 2, 0)]
+    run(spark, tmp_path, {"bill": bills}, requests(("bill", "/d/1/", 11), ("bill", "/d/2/", 12)))
+    assert in_ledger(spark, root) == [("bill", 1, 1), ("bill", 2, 0)]
+    run(spark, tmp_path, {"bill": bills}, requests(("bill", "/d/1/", 13)))
+    assert in_ledger(spark, root) == [("bill", 1, 1), ("bill", 2, 0)]
+
+
+def test_what_the_state_has_forgotten_is_in_the_ledger(spark, tmp_path):
+    """With a horizon of nothing, every repeat passes the state and ends at the index."""
+    source, root = str(tmp_path / "log"), str(tmp_path / "out")
+    for minute in (1, 2, 3):
+        spark.createDataFrame(requests(("bill", "/d/1/", minute)), SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = intake.request_stream(spark, source, "parquet")
+        intake.run_intake(stream, root, str(tmp_path / "cp"), flows(), horizon_days=0).awaitTermination()
+    assert in_ledger(spark, root) == [("bill", 1, 0)]
+    assert read_table(spark, root, "received").count() > 1
+
+
+def test_hot_document(spark, tmp_path):
+    """Repeats of one document are dropped before they meet; requests without a time come last."""
+    hot = [("bill", "/d/1/", None), *requests(*(("bill", "/d/1/", 59 - k % 50) for k in range(2_000)))]
+    root = run(spark, tmp_path, flows(), hot + requests(("bill", "/d/2/", 3)))
+    assert in_ledger(spark, root) == [("bill", 1, 0), ("bill", 2, 0)]
+    assert read_table(spark, root, "received").where("document_id = 1").collect()[0]["received_at"].minute == 10
