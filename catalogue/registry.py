@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ["settlements", "blocks", "payloads", "scans", "dimensions", "invoices", "requests", "batches"]
+MODULES = ["settlements", "blocks", "payloads", "scans", "dimensions", "invoices", "requests", "batches", "intakes"]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
