@@ -165,44 +165,116 @@ def test_line_dedup(spark, weight):
     assert {r[1] for r in got if r[0] == 21} == {None} and {r[1] for r in got if r[0] == 22} == {"short line\nshort line"}
 
 
-def edited(rng, line):
-    """A line with one word in ten replaced, and one with a character in twenty."""
-    words = line.split()
-    for i in rng.sample(range(len(words)), max(1, len(words) // 10)):
-        words[i] = "".join(rng.choices("bcdfgh", k=4))
-    chars = list(line)
-    for i in rng.sample(range(len(chars)), len(chars) // 20):
-        chars[i] = rng.choice("qwxz")
-    return [" ".join(words), " ".join("".join(chars).split())]
+def meet(a, b):
+    """Whether two lines share a block and their marks are near."""
+    marks, line, keys = lines.sketch([a.encode(), b.encode()], jaccard._WordHashes())
+    return bool(set(keys[line == 0]) & set(keys[line == 1])) and bool(lines.near_marks(marks[:1], marks[1:])[0])
 
 
 def test_line_sketches_find_near_lines():
     rng = random.Random(2)
     letters = ["".join(rng.choices("aeiourstlnmdkp", k=rng.randint(2, 8))) for _ in range(3000)]
     base = [" ".join(rng.choices(letters, k=rng.randint(8, 60))) for _ in range(400)]
-    base += ["".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(40)) for _ in range(100)]
-    for _, rows, bands, agree in lines._PLANS[:2]:
-        met = ([], [])  # of the lines with words and with characters replaced, as far as they are near
-        for a in base:
-            for kind, b in enumerate(edited(rng, a)):
-                if lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)):
-                    hit = False
-                    for use, size in ((max(len(a), len(b)) <= 75, 4), (min(len(a), len(b)) >= 60, 6)):
-                        if use:
-                            marks, keys = lines.sketch([a, b], size, rows, bands)
-                            hit |= (keys[0] == keys[1]).any() and lines.near_marks(*marks.view(np.uint64), agree)
-                    met[kind].append(bool(hit))
-        assert min(map(len, met)) >= 300 and np.mean(met[0]) >= 0.95 and np.mean(met[1]) >= 0.9
-    chance = [lines.sketch([a, b], 6, 3, 20) for a, b in zip(base[:399], base[1:400], strict=True) if min(len(a), len(b)) >= 60]
-    assert sum((keys[0] == keys[1]).any() for _, keys in chance) <= 4
-
-
-def test_minhashes_of_long_lines_in_parts(monkeypatch):
-    rng = random.Random(8)
-    texts = ["".join(rng.choices("abcd 好", k=n)) for n in (9, 100, 257, 1000)]
-    whole = lines.minhashes(texts, 6, 74)
-    monkeypatch.setattr(lines, "_SPLIT", 16)
-    assert (lines.minhashes(texts, 6, 74) == whole).all()
+    han = ["".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(40)) for _ in range(100)]
+
+    def words(line, share):
+        own = line.split()
+        for i in rng.sample(range(len(own)), max(1, int(len(own) * share))):
+            own[i] = "".join(rng.choices("bcdfgh", k=4))
+        return " ".join(own)
+
+    def chars(line, share, letters):
+        own = list(line)
+        for i in rng.sample(range(len(own)), max(1, int(len(own) * share))):
+            own[i] = rng.choice(letters)
+        return "".join(own)
+
+    def recall(lines_, change):
+        pairs = [(a, change(a)) for a in lines_]
+        near = [(a, b) for a, b in pairs if lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b))]
+        assert len(near) > 60
+        return np.mean([meet(a, b) for a, b in near])
+
+    assert recall(base, lambda x: words(x, 0.1)) >= 0.97 and recall(base, lambda x: words(x, 0.2)) >= 0.9
+    assert recall(base, lambda x: chars(x, 0.02, "qwxz")) >= 0.95
+    assert recall(base, lambda x: chars(x, 0.05, "qwxz")) >= 0.65  # what the method loses, see README
+    assert recall(han, lambda x: chars(x, 0.1, "好的是")) >= 0.98 and recall(han, lambda x: chars(x, 0.2, "好的是")) >= 0.95
+    short = [" ".join(rng.choices(letters, k=rng.randint(3, 7))) for _ in range(300)]
+    assert recall(short, lambda x: chars(x, 0.03, "qwxz")) >= 0.7
+    assert sum(meet(a, b) for a, b in zip(base, base[1:], strict=False)) == 0
+
+
+def test_sketches_of_very_long_lines_and_many_repeats():
+    rng = random.Random(4)
+    long = " ".join(rng.choices(WORDS, k=30_000))
+    other = " ".join(f"w{rng.randrange(9_000)}" for _ in range(30_000))
+    assert meet(long, long + " end") and meet(other, other.replace("w77 ", "v77 ")) and not meet(long, other)
+    marks, line, keys = lines.sketch(["a a a a a a a a a".encode(), "漢字".encode() * 9], jaccard._WordHashes())
+    assert marks.shape == (2, 2) and len(line) == len(keys)
+
+
+def test_members_of_blocks(spark):
+    """Near marks in one block, whichever task they come from; a hot block is not compared."""
+    rows = [(1, k // 3, k // 3, 9, 7) for k in range(6)] + [(2, 5, 0, 9, 7), (2, 6, 0, 9, -1)]
+    rows += [(3, n, 0, n << 40, n * 77_777_777) for n in range(lines._HOT * 18)]
+    frame = spark.createDataFrame([([k], n, m1, m2) for k, n, _, m1, m2 in rows], "keys array<long>, node long, m1 long, m2 long")
+    found = lines.block_members(frame.select("node", "m1", "m2", "keys"))
+    counts = {r["key"]: r["count"] for r in found.groupBy("key").count().collect()}
+    assert counts == {1: 2, 3: lines._HOT * 18}
+
+
+def test_within():
+    rng = random.Random(6)
+    for _ in range(400):
+        a = " ".join(rng.choices(["ab", "abc", "b", "ca"], k=rng.randint(1, 9)))
+        b = " ".join(x if rng.random() < 0.8 else rng.choice(["ab", "", "cc"]) for x in a.split(" "))
+        limit = rng.randint(0, 8)
+        assert lines.within(a, b, limit) == (lines.edit_distance(a, b) <= limit)
+
+
+@pytest.mark.parametrize("weight", [8_000_000, 300])
+def test_line_dedup_as_the_query_asks(spark, weight):
+    """Edit similarity alone decides: nothing else goes, and of the near lines nearly all meet."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("aeiourstlnmdkp", k=rng.randint(2, 8))) for _ in range(600)]
+    base = [" ".join(rng.choices(vocabulary, k=rng.randint(4, 40))) for _ in range(40)]
+    base += ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(30)) for _ in range(10)]
+
+    def change(line):
+        if " " not in line:
+            return line[:7] + "好" + line[8:]
+        own = line.split()
+        own[rng.randrange(len(own))] = "zz"
+        return " ".join(own)
+
+    pool = base + [change(x) for x in base for _ in range(2)] + ["ok", "two words", "", "!!"]
+    rows = [(i, "\n".join(rng.choices(pool, k=6)), 1, 2) for i in range(60)] + [(60, None, 1, 2), (61, "", 1, 2), (None, pool[0], 1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, dropped_lines_id int, dropped_lines_h int")
+    found = {r["doc_id"]: r for r in lines.dedup_lines(frame, min_words=1, max_bits=None, task_weight=weight).collect()}
+    assert len(found) == len(rows) and found[60]["text"] is None and found[61]["text"] == ""
+    forms, places = {}, []
+    for i, text, *_ in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            words = decontaminate.words_of(line.encode())
+            if words:
+                forms.setdefault(b" ".join(words).decode(), []).append((i is not None, i or 0, n))
+    names = sorted(forms)
+    near = [
+        (a, b)
+        for a in range(len(names))
+        for b in range(a)
+        if min(len(names[a]), len(names[b])) >= 9
+        and lines.edit_distance(names[a], names[b]) <= 0.2 * max(len(names[a]), len(names[b]))
+    ]
+    group = groups(range(len(names)), near)
+    kept = {}
+    for k, name in enumerate(names):
+        kept.setdefault(group[k], []).extend(forms[name])
+    places = sum(map(len, forms.values()))
+    dropped = sum(r["dropped_lines"] for r in found.values())
+    assert 0.95 * (places - len(kept)) <= dropped <= places - len(kept)
+    left = sum(1 for r in found.values() for x in (r["text"] or "").split("\n") if decontaminate.words_of(x.encode()))
+    assert left == places - dropped
 
 
 def test_near_lines(spark):
