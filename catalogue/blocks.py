@@ -5,12 +5,16 @@ Every 64 consecutive events make up one sheet, so row numbers follow from the da
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
 from docsettle.functions.scalars import clean_name
 from docsettle.operators import landing, ranges
+from docsettle.operators.blocks import SheetBlocks
 from docsettle.sources.config import ImportConfig, PlatformConfig, RelativeRange
 from docsettle.sources.ranges import Range
 
@@ -198,8 +202,9 @@ def stacked_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relative_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stacked_sheets(spark, sf_dir)
     documents = documents_of(rows)
-    first = landing.land_block(documents, rows, STACKED, 1, ["Kind", "Amount", "Details"])
-    second = landing.land_block(documents, rows, STACKED, 2, first.columns[2:])
+    found = SheetBlocks(documents, rows, STACKED)
+    first = landing.land_block(documents, rows, STACKED, 1, ["Kind", "Amount", "Details"], found)
+    second = landing.land_block(documents, rows, STACKED, 2, first.columns[2:], found)
     return landing.append(first, second).select(
         "document_id",
         "row_no",
@@ -222,8 +227,8 @@ def relative_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stacked_sheets(spark, sf_dir)
     documents = documents_of(rows)
-    bounds = ranges.block_bounds(documents, rows, STACKED, 1)
-    ends = ranges.range_ends(documents, rows, STACKED, 1)
+    found = SheetBlocks(documents, rows, STACKED)
+    bounds, ends = found.bounds(1), found.ends(1)
     return bounds.join(ends, "document_id").select(
         "document_id", F.col("first_row").cast("int"), "last_row", "end_row"
     )
@@ -310,3 +315,55 @@ def landing_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     subset = batch("O").select("document_id", "row_no", "q")
     renamed = batch("P").withColumnRenamed("q", "zz")
     return landing.append(landing.append(target, subset), renamed)
+
+
+@query(
+    "service_relative_range",
+    """
+    WITH t AS (SELECT event_id // 64 AS d, event_id % 64 AS pos, * FROM events),
+         n AS (SELECT d, count(*) FILTER (pos < d % 11 AND event_id % 97 = 0) AS errors FROM t GROUP BY d)
+    SELECT d AS document_id, CASE WHEN pos < d % 11 THEN 6 + pos ELSE 9 + pos END AS row_no,
+           event_type AS kind, CAST(value AS VARCHAR) AS amount, props AS details
+    FROM t JOIN n USING (d) WHERE event_id % 97 <> 0 AND (pos < d % 11 OR errors = 0)
+    """,
+)
+def service_relative_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a service prepares the rows, the next block is counted from the rows it gave.
+
+    A row with a formula error is not among them, so the block below is looked for too far up: at an empty row.
+    """
+    rows = stacked_sheets(spark, sf_dir)
+    own = F.array(F.lit("#REF!"), F.get("vals", F.lit(1)), F.get("vals", F.lit(2)))
+    event = F.col("document_id") * 64 + F.col("row_no") - F.when(F.col("row_no") < 6 + F.col("document_id") % 11, 6).otherwise(9)
+    data = ~F.get("vals", F.lit(0)).isin("Kind")
+    rows = rows.withColumn("vals", F.when(data & (event % 97 == 0), own).otherwise(F.col("vals")))
+    documents = documents_of(rows)
+    config = replace(STACKED, method="libreoffice")
+    names, found = ["Kind", "Amount", "Details"], SheetBlocks(documents, rows, config)
+    first, second = (landing.land_block(documents, rows, config, k, names, found) for k in (1, 2))
+    return landing.append(first, second).select(
+        "document_id",
+        "row_no",
+        F.col("Kind").alias("kind"),
+        F.col("Amount").alias("amount"),
+        F.col("Details").alias("details"),
+    )
+
+
+@query(
+    "default_table_names",
+    """
+    SELECT 'payout_web_Events_A5_B' AS table_name, event_id // 64 AS document_id, count(*) AS rows FROM events GROUP BY 2
+    UNION ALL
+    SELECT 'payout_web__', event_id // 64, count(*) - 1 FROM events GROUP BY 2 HAVING count(*) > 1
+    """,
+)
+def default_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Imports without a table name land in one named after platform, sheet and range."""
+    rows = sheet(event_rows(spark, sf_dir), 5, [F.col("event_type"), F.col("amount")])
+    whole = rows.withColumn("row_no", F.col("row_no") - 4)
+    rows = rows.withColumn("sheet_no", F.lit(2)).union(whole.select("document_id", F.lit("First").alias("sheet"), "row_no", "vals", F.lit(1)))
+    config = PlatformConfig("", (ImportConfig(sheet=SHEET, range="A5:B", header=False), ImportConfig(columns=("c1", "c2"))))
+    landed = landing.land_workbooks(documents_of(rows), rows, "Web", config)
+    counts = [t.groupBy(F.lit(name).alias("table_name"), "document_id").agg(F.count("*").alias("rows")) for name, t in landed.items()]
+    return reduce(DataFrame.union, counts)

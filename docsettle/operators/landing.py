@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from docsettle import schemas
 from docsettle.operators import ranges
+from docsettle.operators.blocks import SheetBlocks
 from docsettle.session import staged
 from docsettle.sources.config import ImportConfig, PlatformConfig
 from docsettle.sources.payloads import block_rows, payload_blocks, row_value
@@ -129,17 +130,19 @@ def land_block(
     config: PlatformConfig,
     position: int,
     target: Sequence[str] | None = None,
+    blocks: SheetBlocks | None = None,
 ) -> DataFrame | None:
     """Landing rows of one import, for all documents at once.
 
     Without ``target`` the columns are those the configuration declares, else the
     first document's header. Where no document has the block there is nothing to land.
+    ``blocks`` is what other imports of the same rows have found of their sheets.
     """
     one = config.import_configs[position]
     window = config.window(position)
     cut = ranges.sheet_window(rows, one.sheet, window)
     if ranges.needs_bounds(config, one):
-        bounds = ranges.block_bounds(documents, rows, config, position)
+        bounds = (blocks or SheetBlocks(documents, rows, config)).bounds(position)
         if not one.has_header:
             data = _cleaned(ranges.clip(cut, _kept_bounds(bounds, config, one)), config, one)
             return _spread(data, target or one.columns or _neutral(cut, window))
@@ -212,6 +215,7 @@ def land_workbooks(
     platform: str,
     config: PlatformConfig,
     columns: Columns | None = None,
+    blocks: SheetBlocks | None = None,
 ) -> dict[str, DataFrame]:
     """All landing tables of a platform. Imports of one table are appended in order.
 
@@ -219,11 +223,12 @@ def land_workbooks(
     exists in any document is not created.
     """
     tables: dict[str, DataFrame] = {}
+    blocks = blocks or SheetBlocks(documents, rows, config)
     for position, one in enumerate(config.import_configs):
         name = one.table_for(platform)
         known = tables.get(name)
         target = (columns or {}).get(name) if known is None else known.columns[2:]
-        block = land_block(documents, rows, config, position, target)
+        block = land_block(documents, rows, config, position, target, blocks)
         if block is None:
             continue
         tables[name] = block if known is None else append(known, block)
@@ -298,15 +303,13 @@ def workbook_faults(documents: DataFrame, rows: DataFrame, config: PlatformConfi
     return unread.union(sheets)
 
 
-def header_rows(
-    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
-) -> DataFrame:
+def header_rows(rows: DataFrame, config: PlatformConfig, position: int, blocks: SheetBlocks) -> DataFrame:
     """The header row of one import, for every document that has it."""
     one, window = config.import_configs[position], config.window(position)
     cut = ranges.sheet_window(rows, one.sheet, window)
     if not one.is_relative:
         return ranges.literal_header_rows(cut, window)
-    return ranges.relative_header_rows(cut, ranges.block_bounds(documents, rows, config, position))
+    return ranges.relative_header_rows(cut, blocks.bounds(position))
 
 
 def column_faults(
@@ -315,6 +318,7 @@ def column_faults(
     platform: str,
     config: PlatformConfig,
     columns: Columns | None = None,
+    blocks: SheetBlocks | None = None,
 ) -> tuple[list[DataFrame], dict[str, list[str]]]:
     """Documents whose headers do not fit their tables, and the tables' columns.
 
@@ -322,11 +326,12 @@ def column_faults(
     columns found are for :func:`land_workbooks`, which then asks for no header again.
     """
     found, targets = [], {name: list(own) for name, own in (columns or {}).items()}
+    blocks = blocks or SheetBlocks(documents, rows, config)
     for position, one in enumerate(config.import_configs):
         if not one.has_header:
             continue
         name, window = one.table_for(platform), config.window(position)
-        headers = header_rows(documents, rows, config, position)
+        headers = header_rows(rows, config, position, blocks)
         target = targets.get(name) or list(one.columns) or first_columns(headers, window)
         if not target:
             continue

@@ -17,7 +17,6 @@ from docsettle.sources.payloads import has_formula_error
 from docsettle.sources.ranges import Range
 
 JOIN_BLOCK_BITS = 16
-GAP_BLOCK_BITS = 10
 OWN_COLUMNS = ["document_id", "row_no", "batch_id"]
 
 
@@ -72,40 +71,6 @@ def extent(rows: DataFrame) -> DataFrame:
     return rows.groupBy("document_id").agg(F.max("row_no").alias("max_row"))
 
 
-def first_gaps(present: DataFrame) -> DataFrame:
-    """First row number at or after ``first_row`` that is not present, per document.
-
-    ``present`` has ``document_id``, ``first_row`` and ``row_no >= first_row``. Row
-    numbers are gathered in small fixed blocks; the first row of a block also goes to
-    the block before it, so that every block can tell whether its last row has a
-    successor. The least gap of all blocks is then a plain minimum.
-    """
-    size = 1 << GAP_BLOCK_BITS
-    offset = F.col("row_no") - F.col("first_row")
-    block = F.shiftright(offset, GAP_BLOCK_BITS)
-    pos = offset.bitwiseAND(F.lit(size - 1)).cast("int")
-    here = F.struct(block.alias("block"), pos.alias("pos"))
-    before = F.struct((block - 1).alias("block"), F.lit(size).alias("pos"))
-    places = F.when((pos == 0) & (block > 0), F.array(here, before)).otherwise(F.array(here))
-    seen = (
-        present.select("document_id", "first_row", F.explode(places).alias("at"))
-        .groupBy("document_id", "first_row", F.col("at.block").alias("block"))
-        .agg(F.collect_set("at.pos").alias("seen"))
-    )
-    own = F.filter("seen", lambda p: p < size)
-    after = F.array_except(F.transform(own, lambda p: p + 1), F.col("seen"))
-    gap = F.col("first_row") + F.col("block") * size + F.array_min(after)
-    begins = (F.col("block") == 0) & F.array_contains("seen", 0)
-    gaps = seen.groupBy("document_id", "first_row").agg(
-        F.bool_or(begins).alias("begins"), F.min(gap).alias("gap")
-    )
-    return gaps.select(
-        "document_id",
-        "first_row",
-        F.when(F.col("begins"), F.col("gap")).otherwise(F.col("first_row")).alias("gap_row"),
-    )
-
-
 def clip(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     """Rows within ``first_row .. last_row`` of their document, with the bounds' columns.
 
@@ -124,68 +89,6 @@ def clip(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def _first_rows(
-    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
-) -> DataFrame:
-    """``(document_id, first_row)`` of an import, for every document."""
-    one = config.import_configs[position]
-    if not one.is_relative:
-        window = config.window(position)
-        first = F.lit(window.first_row if window is not None else 1).cast("bigint")
-        return documents.select("document_id", first.alias("first_row"))
-    relative = one.relative_range
-    ends = range_ends(documents, rows, config, relative.relative_config_index)
-    first = (F.col("end_row") + relative.rows_offset).cast("bigint")
-    return ends.select("document_id", first.alias("first_row"))
-
-
-def block_bounds(
-    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
-) -> DataFrame:
-    """``(document_id, first_row, last_row)`` of one import.
-
-    ``first_row`` is the header row where there is one. Documents without any row at or
-    after their first row are absent; ``last_row`` may lie before ``first_row``.
-    """
-    one = config.import_configs[position]
-    window = config.window(position)
-    cut = sheet_window(rows, one.sheet, window)
-    if one.is_relative:
-        starts = _first_rows(documents, rows, config, position)
-        limits = starts.join(extent(cut), "document_id").withColumnRenamed("max_row", "last_row")
-        found = clip(cut, limits).drop("last_row")
-    else:
-        first = window.first_row if window is not None else 1
-        found = cut.where(F.col("row_no") >= first)
-        found = found.withColumn("first_row", F.lit(first).cast("bigint"))
-    if window is not None and window.last_row is not None:
-        found = found.where(F.col("row_no") <= window.last_row)
-    if config.stops_at_empty(one):
-        present = found.where(~is_blank(F.col("vals"))).select("document_id", "first_row", "row_no")
-        ends = first_gaps(present).withColumn("last_row", F.col("gap_row") - 1)
-    else:
-        ends = found.groupBy("document_id", "first_row").agg(F.max("row_no").alias("last_row"))
-    return ends.select("document_id", "first_row", F.col("last_row").cast("bigint"))
-
-
-def range_ends(
-    documents: DataFrame, rows: DataFrame, config: PlatformConfig, position: int
-) -> DataFrame:
-    """``(document_id, end_row)``, what a relative import counts from, for every document.
-
-    A closed range ends at its own last row. An open one ends at the last row of the
-    block, and at its first row where the block has none.
-    """
-    window = config.window(position)
-    starts = _first_rows(documents, rows, config, position)
-    if window is not None and window.last_row is not None:
-        closed = F.lit(window.last_row).cast("bigint")
-        return starts.select("document_id", closed.alias("end_row"))
-    bounds = block_bounds(documents, rows, config, position).drop("first_row")
-    end = F.greatest(F.coalesce("last_row", "first_row"), "first_row")
-    return starts.join(bounds, "document_id", "left").select("document_id", end.alias("end_row"))
-
-
 def clean_names(header: DataFrame, window: Range | None) -> DataFrame:
     """``vals`` of header rows as usable column ``names``, as many as the window is wide.
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docsettle.operators import landing, ranges
+from docsettle.operators import blocks, landing, ranges
 from docsettle.sources.config import ImportConfig, PlatformConfig, RelativeRange
 from docsettle.sources.ranges import Range
 
@@ -22,7 +22,8 @@ def land(rows, config, position, target=None):
 
 @pytest.fixture
 def small_blocks(monkeypatch):
-    monkeypatch.setattr(ranges, "GAP_BLOCK_BITS", 2)
+    monkeypatch.setattr(blocks, "BITS", 2)
+    monkeypatch.setattr(blocks, "SIZE", 4)
     monkeypatch.setattr(ranges, "JOIN_BLOCK_BITS", 3)
 
 
@@ -36,25 +37,69 @@ def test_slice_and_cells(spark):
     assert [tuple(row) for row in cut] == [(1, 2, None, "c", None)]
 
 
-def test_first_gaps_against_brute_force(spark, small_blocks):
-    random.seed(7)
-    rows, expected = [], {}
-    for document in range(60):
-        first = random.choice([0, 1, 3, 4, 5, 9])
-        count = random.choice([0, 1, 3, 4, 5, 8, 17, 30])
-        present = {first + n for n in range(count)}
-        if random.random() < 0.4 and present:
-            present.discard(random.choice(sorted(present)))
-        present |= {first + 50 + n for n in range(random.choice([0, 2]))}
-        gap = first
-        while gap in present:
-            gap += 1
-        if present:
-            expected[document] = gap
-        rows += [(document, first, row) for row in present for _ in range(random.choice([1, 2]))]
-    frame = spark.createDataFrame(rows, "document_id bigint, first_row bigint, row_no bigint")
-    found = {row["document_id"]: row["gap_row"] for row in ranges.first_gaps(frame).collect()}
-    assert found == expected
+def expected_bounds(present, config):
+    """First, last and end row of every import of one document, row by row; ``present`` maps rows to kinds."""
+    firsts, ends, out = {}, {}, {}
+    for position, one in enumerate(config.import_configs):
+        window = config.window(position)
+        first = window.first_row
+        if one.is_relative:
+            first = ends[one.relative_range.relative_config_index] + one.relative_range.rows_offset
+        limit = window.last_row
+        own = [r for r in present if r >= first and (limit is None or r <= limit)]
+        last = None
+        if config.stops_at_empty(one):
+            if any(present[r] != "blank" for r in own):
+                last = first - 1
+                while present.get(last + 1, "blank") != "blank" and (limit is None or last < limit):
+                    last += 1
+        elif own:
+            last = max(own)
+        out[position] = None if last is None else (first, last)
+        if config.uses_row_service:
+            data = [r for r in own if last is not None and first + one.has_header <= r <= last and present[r] != "bad"]
+            count = len(data) - (bool(one.footer) and bool(data)) + bool(one.footer) - (not one.has_header)
+            ends[position] = first + max(count, 0)
+        else:
+            ends[position] = limit if limit is not None else max(first, first if last is None else last)
+        firsts[position] = first
+    return out, ends
+
+
+@pytest.mark.parametrize("method", ["", "libreoffice"])
+def test_bounds_of_all_imports_against_brute_force(spark, small_blocks, method):
+    """Chained relative blocks, closed ends, stops at empty rows, footers, in stretches of four rows."""
+    rng = random.Random(7)
+    imports = (
+        ImportConfig("a", "S", "A3:B", stop_at_empty=True),
+        ImportConfig("b", "S", "A1:B", stop_at_empty=True, footer=True),
+        ImportConfig("b", "S", relative_range=RelativeRange(1, 2), stop_at_empty=True, header=False),
+        ImportConfig("b", "S", relative_range=RelativeRange(2, 3), stop_at_empty=False),
+        ImportConfig("c", "S", "A4:B9", stop_at_empty=True, footer=True),
+        ImportConfig("c", "S", relative_range=RelativeRange(4, 1), stop_at_empty=True),
+        ImportConfig("d", "S", "A2:B6", header=False),
+    )
+    config = PlatformConfig(method, imports).validate()
+    rows, kinds = [], {"full": ["x", None], "blank": [" ", ""], "bad": ["#REF!", "1"]}
+    wanted = {}
+    for document in range(80):
+        present = {}
+        for r in range(1, rng.choice([1, 3, 9, 30])):
+            if rng.random() < 0.85:
+                present[r] = rng.choices(["full", "blank", "bad"], [8, 1, 1])[0]
+        rows += [(document, "S", r, kinds[k]) for r, k in present.items()]
+        wanted[document] = expected_bounds(present, config)
+    rows.append((100, "other", 1, ["x", "y"]))
+    wanted[100] = expected_bounds({}, config)
+    frame = sheet(spark, rows).repartition(3)
+    documents = spark.createDataFrame([(d,) for d in wanted], "document_id bigint")
+    found = blocks.SheetBlocks(documents, frame, config)
+    for position in range(len(imports)):
+        bounds = {r["document_id"]: (r["first_row"], r["last_row"]) for r in found.bounds(position).collect()}
+        assert bounds == {d: b[position] for d, (b, _) in wanted.items() if b[position] is not None}
+        ends = {r["document_id"]: r["end_row"] for r in found.ends(position).collect()}
+        assert ends == {d: e[position] for d, (_, e) in wanted.items()}
+    assert len(found._stretches) == 1  # the sheet has been read once
 
 
 def test_a_block_over_many_join_blocks(spark, small_blocks):
@@ -172,7 +217,7 @@ def test_chained_relative_ranges_and_closed_end(spark):
     assert [row[2] for row in found] == ["r11", "r12"]
     closed = PlatformConfig("", (ImportConfig("u", "other", "A1:B"), ImportConfig("t", "S", "A2:B3")))
     documents = rows.select("document_id").distinct()
-    assert ranges.range_ends(documents, rows, closed, 1).first()["end_row"] == 3
+    assert blocks.range_ends(documents, rows, closed, 1).first()["end_row"] == 3
 
 
 def test_footer_after_formula_errors(spark):
