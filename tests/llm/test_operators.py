@@ -197,7 +197,7 @@ def test_line_sketches_find_near_lines():
 
     assert recall(base, lambda x: words(x, 0.1)) >= 0.97 and recall(base, lambda x: words(x, 0.2)) >= 0.9
     assert recall(base, lambda x: chars(x, 0.02, "qwxz")) >= 0.95
-    assert recall(base, lambda x: chars(x, 0.05, "qwxz")) >= 0.65  # what the method loses, see README
+    assert recall(base, lambda x: chars(x, 0.05, "qwxz")) >= 0.55  # what the method loses, see README
     assert recall(han, lambda x: chars(x, 0.1, "好的是")) >= 0.98 and recall(han, lambda x: chars(x, 0.2, "好的是")) >= 0.95
     short = [" ".join(rng.choices(letters, k=rng.randint(3, 7))) for _ in range(300)]
     assert recall(short, lambda x: chars(x, 0.03, "qwxz")) >= 0.7
@@ -230,6 +230,7 @@ def test_within():
         b = " ".join(x if rng.random() < 0.8 else rng.choice(["ab", "", "cc"]) for x in a.split(" "))
         limit = rng.randint(0, 8)
         assert lines.within(a, b, limit) == (lines.edit_distance(a, b) <= limit)
+        assert not lines.close_words(a, b, limit) or lines.within(a, b, limit)
 
 
 @pytest.mark.parametrize("weight", [8_000_000, 300])
