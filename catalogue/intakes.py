@@ -9,7 +9,7 @@ from catalogue.invoices import _INVOICES, _ITEMS, AS_OF, bill_inputs, invoice_do
 from catalogue.registry import query, table
 from catalogue.requests import take_in, tenth
 from catalogue.scans import order_payloads
-from catalogue.settlements import DIGITS, OUTLET
+from catalogue.settlements import OUTLET
 from docsettle.operators.landing import read_table
 from docsettle.plans.archive import Archive, Books, archive_flows
 from docsettle.plans.platforms import shipped_platforms
@@ -64,7 +64,7 @@ def _run(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
     flows = {}
     if "payout" in kinds:
         archive = Archive(sheets, sheets.limit(0), None, payloads)
-        flows["payout"] = archive_flows(archive, books, platforms, root, OUTLET, AS_OF, DIGITS)["payout"]
+        flows["payout"] = archive_flows(archive, books, platforms, root, OUTLET, AS_OF)["payout"]
     if "bill" in kinds:
         invoices = invoice_documents(spark, sf_dir)
         scanned = F.when(document % 17 == 3, F.lit("no list")).otherwise(F.col("raw_ocr_data"))
@@ -146,10 +146,10 @@ def intake_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     t AS (SELECT o_orderkey // 32 AS d, strftime(o_orderdate, '%Y-%m-%d') AS day, * FROM orders)
     SELECT d AS document_id, 'Main Outlet' AS outlet_name, 'zomato' AS platform,
            min(day) AS period_start, max(day) AS period_end, max(day) AS settlement_date,
-           count(*) AS total_orders, round(sum(o_totalprice), 4) AS gross_sales_amt,
+           count(*) AS total_orders, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS gross_sales_amt,
            0::DOUBLE AS restaurant_discount_amt, CAST(sum(o_custkey) AS DOUBLE) AS platform_commission_amt,
            0::DOUBLE AS taxes_tcs_tds_amt, -count(*)::DOUBLE AS marketing_ads_amt,
-           round(sum(o_totalprice) - count(*), 4) AS final_payout_amt, 'UTR' || CAST(d AS VARCHAR) AS utr_number,
+           sum(o_totalprice::DECIMAL(18,2))::DOUBLE - count(*) AS final_payout_amt, 'UTR' || CAST(d AS VARCHAR) AS utr_number,
            CAST(min(part) AS BIGINT) AS batch_id
     FROM t JOIN asked ON kind = 'payout' AND id = d
     WHERE d % 3 < 2 AND d % 11 NOT IN (5, 6) GROUP BY d

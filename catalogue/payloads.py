@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
-from catalogue.settlements import DIGITS, OUTLET
+from catalogue.settlements import OUTLET
 from docsettle.operators.landing import land_payload_blocks
 from docsettle.plans.payouts import settle_payloads
 from docsettle.plans.platforms import named_column_platform
@@ -121,15 +121,15 @@ def pair_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
            strftime(max(o_orderdate), '%Y-%m-%d') AS period_end,
            strftime(max(o_orderdate) + INTERVAL 2 DAY, '%Y-%m-%d') AS settlement_date,
            count(*) AS total_orders,
-           round(sum(o_totalprice), 4) AS gross_sales_amt,
-           round(coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 0)
-               + coalesce(sum(CASE WHEN o_orderstatus = 'O' THEN 5 END), 0), 4)
+           sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS gross_sales_amt,
+           coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice::DECIMAL(18,2) END)::DOUBLE, 0)
+               + coalesce(sum(CASE WHEN o_orderstatus = 'O' THEN 5 END)::DOUBLE, 0)
                AS restaurant_discount_amt,
            CAST(coalesce(sum(CASE WHEN o_orderstatus <> 'P' THEN o_custkey END), 0) AS DOUBLE)
                AS platform_commission_amt,
            CAST(sum(o_custkey) AS DOUBLE) AS taxes_tcs_tds_amt,
            CAST(-count(*) AS DOUBLE) AS marketing_ads_amt,
-           round(sum(o_totalprice) - count(*), 4) AS final_payout_amt,
+           sum(o_totalprice::DECIMAL(18,2))::DOUBLE - count(*) AS final_payout_amt,
            max('UTR' || CAST(o_custkey AS VARCHAR)) AS utr_number
     FROM t GROUP BY d
     """,
@@ -177,4 +177,4 @@ def payout_shipped_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     documents = payloads.select("document_id")
     config = named_column_platform()
-    return settle_payloads(documents, payloads, "zomato", config, OUTLET, DIGITS)
+    return settle_payloads(documents, payloads, "zomato", config, OUTLET)

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
-from docsettle.functions.expressions import NamedExpression
+from docsettle.functions.expressions import NamedExpression, exact, exact_sum
 from docsettle.operators.settle import evaluate, settle
 from docsettle.sources.config import ExportConfig
 
-DIGITS = 4
 OUTLET = "Main Outlet"
 
 
@@ -39,11 +38,11 @@ SETTLEMENT = ExportConfig(
         PeriodEnd="date_format(max(`Order date`), 'yyyy-MM-dd')",
         SettlementDate="date_format(max(`Order date`), 'yyyy-MM-dd')",
         TotalOrders="count(1)",
-        GrossSalesAmt="sum(Gross)",
-        RestaurantDiscountAmt="sum(Gross * Discount)",
-        TaxesTcsTdsAmt="sum(Gross * Tax)",
-        MarketingAdsAmt="sum(CASE WHEN `Return flag` = 'R' THEN -Gross ELSE 0.0D END)",
-        FinalPayoutAmt="sum(Gross * (1 - Discount))",
+        GrossSalesAmt=f"sum({exact('Gross')})",
+        RestaurantDiscountAmt=f"sum({exact('Gross')} * {exact('Discount')})",
+        TaxesTcsTdsAmt=f"sum({exact('Gross')} * {exact('Tax')})",
+        MarketingAdsAmt=f"sum(CASE WHEN `Return flag` = 'R' THEN -{exact('Gross')} ELSE 0 END)",
+        FinalPayoutAmt=f"sum({exact('Gross')} * (1 - {exact('Discount')}))",
     ),
 )
 
@@ -51,23 +50,22 @@ SETTLEMENT = ExportConfig(
 @query(
     "payout_settlement",
     """
-    WITH s AS (
+    WITH d AS (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_discount AS DECIMAL(18,2)) AS discount,
+                      CAST(l_tax AS DECIMAL(18,2)) AS rate FROM lineitem),
+    s AS (
       SELECT l_suppkey AS document_id, strftime(min(l_shipdate), '%Y-%m-%d') AS a,
              strftime(max(l_shipdate), '%Y-%m-%d') AS b, count(*) AS n,
-             sum(l_extendedprice) AS gross, sum(l_extendedprice * l_discount) AS disc,
-             sum(l_extendedprice * l_tax) AS tax,
-             sum(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE 0 END) AS ads,
-             sum(l_extendedprice * (1 - l_discount)) AS fin
-      FROM lineitem GROUP BY l_suppkey)
+             sum(price)::DOUBLE AS gross, sum(price * discount)::DOUBLE AS disc, sum(price * rate)::DOUBLE AS tax,
+             sum(CASE WHEN l_returnflag = 'R' THEN -price ELSE 0 END)::DOUBLE AS ads,
+             sum(price * (1 - discount))::DOUBLE AS fin
+      FROM d GROUP BY l_suppkey)
     SELECT s_suppkey AS document_id, 'Main Outlet' AS outlet_name, 'orders' AS platform,
            coalesce(a, '') AS period_start, coalesce(b, '') AS period_end,
            coalesce(b, '') AS settlement_date, coalesce(n, 0) AS total_orders,
-           round(coalesce(gross, 0), 4) AS gross_sales_amt,
-           round(coalesce(disc, 0), 4) AS restaurant_discount_amt,
-           CAST(0 AS DOUBLE) AS platform_commission_amt,
-           round(coalesce(tax, 0), 4) AS taxes_tcs_tds_amt,
-           round(coalesce(ads, 0), 4) AS marketing_ads_amt,
-           round(coalesce(fin, 0) + coalesce(ads, 0), 4) AS final_payout_amt,
+           coalesce(gross, 0) AS gross_sales_amt, coalesce(disc, 0) AS restaurant_discount_amt,
+           CAST(0 AS DOUBLE) AS platform_commission_amt, coalesce(tax, 0) AS taxes_tcs_tds_amt,
+           coalesce(ads, 0) AS marketing_ads_amt,
+           coalesce(fin, 0) + coalesce(ads, 0) AS final_payout_amt,
            '' AS utr_number
     FROM supplier LEFT JOIN s ON document_id = s_suppkey
     """,
@@ -75,7 +73,7 @@ SETTLEMENT = ExportConfig(
 def payout_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("document_id"))
     landings = {"order_level": order_level(spark, sf_dir)}
-    return settle(documents, landings, [SETTLEMENT], "orders", OUTLET, DIGITS)
+    return settle(documents, landings, [SETTLEMENT], "orders", OUTLET)
 
 
 @query(
@@ -90,9 +88,9 @@ def payout_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
              CASE WHEN l_discount = 0 THEN '-' ELSE CAST(l_discount AS VARCHAR) END AS gold
       FROM lineitem)
     SELECT document_id, count(oid) AS total_orders,
-           round(sum(TRY_CAST(NULLIF(amount, '') AS DOUBLE)), 4) AS gross_sales_amt,
-           round(coalesce(sum(TRY_CAST(NULLIF(promo, '') AS DOUBLE)), 0)
-               + coalesce(sum(TRY_CAST(NULLIF(gold, '') AS DOUBLE)), 0), 4) AS restaurant_discount_amt
+           sum(TRY_CAST(NULLIF(amount, '') AS DECIMAL(18,4)))::DOUBLE AS gross_sales_amt,
+           coalesce(sum(TRY_CAST(NULLIF(promo, '') AS DECIMAL(18,4)))::DOUBLE, 0)
+               + coalesce(sum(TRY_CAST(NULLIF(gold, '') AS DECIMAL(18,4)))::DOUBLE, 0) AS restaurant_discount_amt
     FROM t GROUP BY document_id
     """,
 )
@@ -111,15 +109,16 @@ def payout_text_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("l_discount").cast("string"))
         .alias("Gold"),
     )
-    total = "sum(safe_double(nullif(`{}`, '')))".format
+
+    def total(name: str) -> str:
+        return exact_sum(f"nullif(`{name}`, '')")
+
     return evaluate(
         landing,
         readers(
             total_orders="count(`Order ID`)",
-            gross_sales_amt=f"round({total('Subtotal')}, 4)",
-            restaurant_discount_amt=(
-                f"round(coalesce({total('Promo')}, 0) + coalesce({total('Gold')}, 0), 4)"
-            ),
+            gross_sales_amt=total("Subtotal"),
+            restaurant_discount_amt=f"coalesce({total('Promo')}, 0) + coalesce({total('Gold')}, 0)",
         ),
     )
 
@@ -135,8 +134,8 @@ def payout_text_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                   ELSE 'Rs ' || CAST(o_totalprice AS VARCHAR) END AS charge
       FROM orders)
     SELECT document_id, count(*) AS charges,
-           round(sum(TRY_CAST(regexp_replace(charge, '[^0-9.]', '') AS DOUBLE)), 4) AS marketing_ads_amt,
-           round(sum(TRY_CAST(regexp_replace(charge, '[^0-9.]', '', 'g') AS DOUBLE)), 4) AS all_charges
+           sum(TRY_CAST(regexp_replace(charge, '[^0-9.]', '') AS DECIMAL(18,4)))::DOUBLE AS marketing_ads_amt,
+           sum(TRY_CAST(regexp_replace(charge, '[^0-9.]', '', 'g') AS DECIMAL(18,4)))::DOUBLE AS all_charges
     FROM t GROUP BY document_id
     """,
 )
@@ -158,8 +157,8 @@ def payout_other_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing,
         readers(
             charges="count(1)",
-            marketing_ads_amt="round(sum(safe_double(strip_first(#2))), 4)",
-            all_charges="round(sum(safe_double(regexp_replace(#2, '[^0-9.]', ''))), 4)",
+            marketing_ads_amt=exact_sum("strip_first(#2)"),
+            all_charges=exact_sum("regexp_replace(#2, '[^0-9.]', '')"),
         ),
     )
 
@@ -279,22 +278,22 @@ def payout_first_row_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "payout_merge_exports",
     """
-    WITH a AS (SELECT l_suppkey AS k, count(*) AS n, sum(l_extendedprice) AS gross,
+    WITH a AS (SELECT l_suppkey AS k, count(*) AS n, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS gross,
                       max(l_returnflag) AS flag FROM lineitem GROUP BY 1),
-         b AS (SELECT o_custkey AS k, count(*) AS n, sum(o_totalprice) AS fin,
+         b AS (SELECT o_custkey AS k, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS fin,
                       max(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END) AS utr
                FROM orders GROUP BY 1),
-         c AS (SELECT user_id AS k, sum(value) AS ads,
+         c AS (SELECT user_id AS k, sum(value::DECIMAL(18,2))::DOUBLE AS ads,
                       strftime(min(ts), '%Y-%m-%d') AS first_day FROM events GROUP BY 1)
     SELECT c_custkey AS document_id, 'Main Outlet' AS outlet_name, 'merged' AS platform,
            coalesce(first_day, '') AS period_start, '' AS period_end, '' AS settlement_date,
            coalesce(b.n, a.n, 0) AS total_orders,
-           round(coalesce(gross, 0), 4) AS gross_sales_amt,
+           coalesce(gross, 0) AS gross_sales_amt,
            CAST(0 AS DOUBLE) AS restaurant_discount_amt,
            CAST(0 AS DOUBLE) AS platform_commission_amt,
            CAST(0 AS DOUBLE) AS taxes_tcs_tds_amt,
-           round(coalesce(ads, 0), 4) AS marketing_ads_amt,
-           round(coalesce(fin, 0) + coalesce(ads, 0), 4) AS final_payout_amt,
+           coalesce(ads, 0) AS marketing_ads_amt,
+           coalesce(fin, 0) + coalesce(ads, 0) AS final_payout_amt,
            coalesce(utr, flag, '') AS utr_number
     FROM customer LEFT JOIN a ON a.k = c_custkey LEFT JOIN b ON b.k = c_custkey
          LEFT JOIN c ON c.k = c_custkey
@@ -316,10 +315,10 @@ def payout_merge_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     exports = [
         ExportConfig(
             "lines",
-            readers(TotalOrders="count(1)", GrossSalesAmt="sum(Gross)", UtrNumber="max(`Return flag`)"),
+            readers(TotalOrders="count(1)", GrossSalesAmt=f"sum({exact('Gross')})", UtrNumber="max(`Return flag`)"),
         ),
         ExportConfig("unread"),
-        ExportConfig("orders", readers(totalorders="count(1)", FinalPayoutAmt="sum(o_totalprice)")),
+        ExportConfig("orders", readers(totalorders="count(1)", FinalPayoutAmt=f"sum({exact('o_totalprice')})")),
         ExportConfig(
             "orders",
             readers(UtrNumber="max(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END)"),
@@ -327,13 +326,13 @@ def payout_merge_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
         ExportConfig(
             "events",
             readers(
-                marketing_ads_amt="sum(value)",
+                marketing_ads_amt=f"sum({exact('value')})",
                 period_start="date_format(min(ts), 'yyyy-MM-dd')",
                 no_such_field="count(1)",
             ),
         ),
     ]
-    return settle(documents, landings, exports, "merged", OUTLET, DIGITS)
+    return settle(documents, landings, exports, "merged", OUTLET)
 
 
 @query(
@@ -341,7 +340,7 @@ def payout_merge_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT l_suppkey AS document_id, min(l_orderkey) AS first_order,
            strftime(max(l_shipdate), '%Y-%m-%d') AS last_day,
-           round(sum(l_extendedprice), 4) AS gross, '#2' AS quoted
+           sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS gross, '#2' AS quoted
     FROM lineitem GROUP BY l_suppkey
     """,
 )
@@ -351,7 +350,7 @@ def positional_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         readers(
             first_order="min(#2)",
             last_day="date_format(max(#3), 'yyyy-MM-dd')",
-            gross="round(sum(#4), 4)",
+            gross=f"CAST(sum({exact('#4')}) AS DOUBLE)",
             quoted="max('#2')",
         ),
     )

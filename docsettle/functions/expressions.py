@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from docsettle.functions import scalars
 
+#: Amounts are exact to six places.
+AMOUNT = "DECIMAL(18,6)"
 _POSITION = re.compile(r"'(?:[^'\\]|\\.)*'|`[^`]*`|#(\d+)")
 
 
@@ -37,6 +39,22 @@ def resolve_positions(expression: str, columns: Sequence[str]) -> str:
     return _POSITION.sub(name, expression)
 
 
+def exact(number: str) -> str:
+    """Text of a numeric expression's value as a decimal, which may be a factor of a sum's products."""
+    return f"CAST({number} AS {AMOUNT})"
+
+
+def exact_sum(text: str) -> str:
+    """Expression text of the sum of a text expression's numbers, the same in whatever order a cluster adds them up.
+
+    Numbers of up to six places and twelve digits before them are added as decimals. If a group holds any other,
+    such as an infinity, its sum is one of doubles.
+    """
+    number, amount = f"safe_double({text})", f"safe_decimal({text})"
+    fits = f"coalesce(CAST({amount} AS DOUBLE) = {number}, {number} IS NULL)"
+    return f"CASE WHEN bool_and({fits}) THEN CAST(sum({amount}) AS DOUBLE) ELSE sum({number}) END"
+
+
 def to_column(expression: str, columns: Sequence[str]) -> Column:
     return F.expr(resolve_positions(expression, columns))
 
@@ -46,7 +64,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     """Temporary SQL functions for use inside declared expressions, once per session.
 
     They are SQL bodies, which Catalyst inlines; no Python runs per row. ``safe_double`` takes
-    no type suffixes such as ``1d``, ``safe_ts`` needs a full calendar date, ``strip_first``
+    no type suffixes such as ``1d``, ``safe_decimal`` gives the same numbers to six places, ``safe_ts`` needs a full calendar date, ``strip_first``
     removes the first character that is neither digit nor dot, and ``day_month`` completes
     ``d MMMM`` with a given year; what cannot be read is null.
     """
@@ -61,6 +79,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     )
     for signature, result, body in [
         ("safe_double(s STRING)", "DOUBLE", double_body),
+        ("safe_decimal(s STRING)", AMOUNT, double_body.replace("AS DOUBLE", f"AS {AMOUNT}")),
         ("safe_ts(s STRING)", "TIMESTAMP_NTZ", stamp_body),
         ("strip_first(s STRING)", "STRING", strip_body),
         ("day_month(s STRING, y INT)", "TIMESTAMP", day_body),

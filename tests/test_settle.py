@@ -1,7 +1,10 @@
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
-from docsettle.functions.expressions import NamedExpression
+from docsettle.functions.expressions import NamedExpression, exact_sum
 from docsettle.operators import landing
 from docsettle.operators.settle import evaluate, settle
 from docsettle.sources.config import ExportConfig
@@ -87,3 +90,18 @@ def test_writing_a_batch_again_replaces_it(spark, tmp_path, orders):
     landing.write_table(orders.where("document_id = 2"), str(tmp_path), "t", 2)
     back = landing.read_table(spark, str(tmp_path), "t")
     assert {(r["batch_id"], r["count"]) for r in back.groupBy("batch_id").count().collect()} == {(1, 3), (2, 1)}
+
+
+def test_exact_sums(spark):
+    """The same to the last bit however rows are dealt; values that are no decimals fall back to doubles."""
+    rng = random.Random(3)
+    texts = [f"{rng.uniform(-1e6, 1e6):.6f}" for _ in range(3_000)] + ["0.1"] * 500 + ["", "n/a", None, "1e3", " 7 "]
+    rows = [(1, k, t) for k, t in enumerate(texts)] + [(2, 1, "1e30"), (2, 2, "1"), (3, 1, "inf"), (3, 2, "5"), (4, 1, "x"), (5, 1, "0.1234567")]
+    readers = [NamedExpression("total", exact_sum("nullif(#2, '')"))]
+    found = []
+    for parts in (1, 7, 211):
+        landing = spark.createDataFrame(rows, "document_id bigint, row_no bigint, amount string").repartition(parts)
+        found.append({r["document_id"]: r["total"] for r in evaluate(landing, readers).collect()})
+    assert found[0] == found[1] == found[2]
+    exact = sum(Fraction(t.strip()) for t in texts if t not in ("", "n/a", None, "1e3")) + 1000
+    assert found[0] == {1: float(exact), 2: 1e30, 3: float("inf"), 4: None, 5: 0.1234567}
