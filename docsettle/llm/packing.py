@@ -200,7 +200,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 20_000, unde
         rows["_fill"] = np.bincount(bins, lengths).astype(np.int64)[bins]
         return rows
 
-    done = None
+    done, before, turn = None, None, 0
     while True:
         solved = staged(state.groupBy("_group").applyInPandas(solve, state.schema), "packed")
         full = F.col("_fill") >= int(underfull * capacity)
@@ -209,13 +209,13 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 20_000, unde
         if groups == 1:
             break
         state = solved.where(~full)
-        left = state.count()
-        fewer = max(1, -(-left // group_rows))
-        if left == 0:
+        sequences = state.groupBy("_bin").agg(F.count("*").alias("n")).agg(F.count("*"), F.sum("n")).first()
+        if not sequences[0]:
             break
-        if fewer >= groups:
+        if before is not None and sequences[0] >= before:  # the last round has emptied none
             done = done.union(state)
             break
-        groups = fewer
-        state = state.withColumn("_group", F.pmod(F.xxhash64("_bin"), F.lit(groups)))
+        before, turn = sequences[0], turn + 1
+        groups = max(1, -(-sequences[1] // group_rows))
+        state = state.withColumn("_group", F.pmod(F.xxhash64(F.lit(turn), "_bin"), F.lit(groups)))
     return done.select(*plain.columns, F.col("_bin").alias("sequence_id"), F.col("_place").alias("offset"))

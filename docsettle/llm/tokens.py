@@ -74,13 +74,13 @@ class _Spans(_Maker):
 
 
 class Encoder:
-    """Ids and offsets of texts; the strings of special tokens are ordinary text."""
+    """Ids and offsets of texts; a text with the string of a special token goes to the tokenizer whole, which knows it."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.ids_of, self.spans_of = _Ids(tokenizer), _Spans(tokenizer)
         self.words = {kind: (_Words(kind, ""), _Words(kind, " ")) for kind in (self.ids_of, self.spans_of)}
 
@@ -88,6 +88,8 @@ class Encoder:
         """Values of the text's pieces in order."""
         if not text:
             return []
+        if any(token in text for token in self.special):
+            return [kind.of(text)]
         bare, spaced = self.words[kind]
         words, out, feed = text.split(), [], kind.end("\n")
         at = 0

@@ -361,7 +361,7 @@ def test_encoder_is_the_tokenizer():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(token_file())
-    plain.encode_special_tokens = True
+    special = next(t.content for t in plain.get_added_tokens_decoder().values())
     encoder = tokens.Encoder(token_file())
     rng = random.Random(2)
     for _ in range(1500):
@@ -388,6 +388,51 @@ def test_packing(docs, rows, empty, group_rows):
     assert packing.pack(packing.pieces(empty, token_file())).count() == 0
 
 
+def fewest(lengths, capacity):
+    """The least number of bins, by trying every way."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(k, fills):
+        if len(fills) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(fills)
+            return
+        for i in range(len(fills)):
+            if fills[i] + lengths[k] <= capacity and fills[i] not in fills[:i]:
+                place(k + 1, [*fills[:i], fills[i] + lengths[k], *fills[i + 1 :]])
+        place(k + 1, [*fills, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_against_the_optimum():
+    """On small cases nearly always the least number of bins, and never more than best fit needs."""
+    rng = np.random.default_rng(5)
+    extra = 0
+    for _ in range(60):
+        lengths = rng.integers(5, 60, 11)
+        bins = packing.best_fit(lengths, 100)
+        found = packing.local_search(lengths, bins, 100)
+        assert np.bincount(found, lengths).max() <= 100
+        used, least = len(set(found.tolist())), fewest(lengths.tolist(), 100)
+        assert least <= used <= len(set(bins.tolist()))
+        extra += used - least
+    assert extra <= 6
+
+
+def test_rounds_over_groups_empty_sequences(spark):
+    """Sequences of different groups meet in later rounds, though the number of groups does not fall."""
+    rng = random.Random(3)
+    rows = [(k, rng.choice([35, 36, 37])) for k in range(400)] + [(k, 28) for k in range(400, 800)]
+    frame = spark.createDataFrame(rows, "id long, length long")
+    placed = packing.pack(frame, capacity=100, group_rows=150).toPandas()
+    assert len(placed) == 800 and placed.groupby("sequence_id")["length"].sum().max() <= 100
+    alone = sum(len(set(packing.best_fit(np.array([n for _, n in rows[k::6]]), 100).tolist())) for k in range(6))
+    assert placed["sequence_id"].nunique() <= alone
+
+
 def test_local_search_empties_bins():
     lengths = np.array([6, 4, 3, 5, 2])
     bins = packing.local_search(lengths, np.array([0, 1, 1, 2, 2]), 10)
@@ -399,6 +444,18 @@ def test_sections(docs, rows, empty):
     encoder = tokens.Encoder(token_file())
     assert got["n_tokens"].sum() == sum(len(encoder.ids(r[1] or "")) // 4 for r in rows)
     assert got["n_chars"].sum() == sum(len(r[1] or "") for r in rows)
+    wanted = {}
+    for i, text, *_ in rows:  # character by character
+        starts = [0] + [k + 1 for k, c in enumerate(text or "") if c == "\n" and k + 1 < len(text)]
+        line = [sum(k >= s for s in starts) - 1 for k in range(len(text or ""))]
+        counts = [0] * len(starts)
+        for a, b in zip(*encoder.offsets(text or ""), strict=True):
+            own = [line[k] for k in range(a, b)]
+            counts[max(sorted(set(own)), key=own.count)] += 1
+        wanted.setdefault((i, text), []).append(counts)
+    for (i, text), lists in wanted.items():
+        mine = got[got["id"].isna() if i is None else got["id"] == i]
+        assert sorted(n for c in lists for n in c) == sorted(mine["n_tokens"].tolist()) or sum(r[0] == i for r in rows) > len(lists)
     first, end = np.array([0, 2, 4]), np.array([2, 5, 6])
     assert offsets.attribute(first, end, np.array([0, 3]), 6, "overlap").tolist() == [1, 2]
     assert offsets.attribute(first, end, np.array([0, 3]), 6, "start").tolist() == [2, 1]
@@ -414,6 +471,13 @@ def test_sharding(docs, rows, empty, range_bytes):
     for _, one in got.groupby("shard"):
         assert sorted(one["slot"]) == list(range(len(one)))
     assert sharding.shard(empty).count() == 0
+    assert set(got["shard"]) <= set(range(4))
+    # rows in order of text, id and row, cut where a quarter of all bytes lies before a row's middle
+    ordered = got.sort_values(["shard", "slot"])
+    middle = ordered["size"].cumsum() - ordered["size"] / 2
+    assert (np.minimum(np.floor(middle * 4 / sum(sizes)), 3) == ordered["shard"]).all()
+    texts = [t for t in ordered["text_crc32"].tolist() if t]  # without null and empty ones
+    assert len([1 for a, b in zip(texts, texts[1:], strict=False) if a != b]) + 1 == len(set(texts))  # equal texts are neighbours
 
 
 def test_pages(spark, empty):
