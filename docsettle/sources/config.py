@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsettle.fixed import SERVICE_METHOD
@@ -120,6 +121,68 @@ class PlatformConfig:
         return list(dict.fromkeys(one.table_for(platform) for one in self.import_configs))
 
 
+def _only(raw: Mapping, kind: type, where: str, *more: str) -> None:
+    """Settings that the configuration does not know are mistakes, not decoration."""
+    unknown = set(raw) - {one.name for one in fields(kind)} - set(more)
+    if unknown:
+        raise ValueError(f"{where} has unknown settings {sorted(unknown)}")
+
+
+def check_platform(name: str, raw: Mapping) -> PlatformConfig:
+    """A platform whose settings are known, whose relative imports refer to earlier ones, and whose exports read tables that it fills."""
+    _only(raw, PlatformConfig, name)
+    for number, one in enumerate(raw.get("import_configs") or []):
+        _only(one, ImportConfig, f"import {number} of {name}")
+        _only(one.get("relative_range") or {}, RelativeRange, f"the relative range of import {number} of {name}")
+    for number, one in enumerate(raw.get("export_configs") or []):
+        _only(one, ExportConfig, f"export {number} of {name}")
+        for reader in one.get("reader_configs") or []:
+            _only(reader, NamedExpression, f"a field of export {number} of {name}")
+    config = platform_from_dict(raw)
+    config.check_exports(name)
+    return config
+
+
+@dataclass(frozen=True)
+class Versions:
+    """Configurations in the order of the day from which they hold; the first may hold from ever."""
+
+    starts: tuple[dt.date | None, ...]
+    platforms: tuple[dict[str, PlatformConfig], ...]
+
+    def number(self, day: Column) -> Column:
+        """Which version holds on a day; null before the first. There are a few, so they go into the plan."""
+        number = F.lit(None).cast("int")
+        for k, start in enumerate(self.starts):
+            holds = F.lit(True) if start is None else day >= F.lit(start)
+            number = F.when(holds, F.lit(k)).otherwise(number)
+        return number
+
+
+def load_versions(spark: SparkSession, path: str) -> Versions:
+    """The JSON files below a folder, each a configuration with the day it is ``valid_from``; all are checked."""
+    rows = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).collect()  # one per file
+    found = []
+    for row in rows:
+        raw = json.loads(row["value"])
+        unknown = set(raw) - {"platforms", "valid_from"}
+        if unknown:
+            raise ValueError(f"a configuration has unknown settings {sorted(unknown)}")
+        start = dt.date.fromisoformat(raw["valid_from"]) if raw.get("valid_from") else None
+        found.append((start, {name: check_platform(name, one) for name, one in (raw.get("platforms") or {}).items()}))
+    found.sort(key=lambda one: one[0] or dt.date.min)
+    starts = tuple(start for start, _ in found)
+    if len(set(starts)) < len(starts):
+        raise ValueError("two configurations are valid from the same day")
+    return Versions(starts, tuple(platforms for _, platforms in found))
+
+
+def to_json(platforms: Mapping[str, PlatformConfig], valid_from: dt.date | None = None) -> str:
+    """Platforms as the text of a configuration file."""
+    head = {"valid_from": valid_from.isoformat()} if valid_from else {}
+    return json.dumps({**head, "platforms": {name: asdict(one) for name, one in platforms.items()}})
+
+
 def platform_from_dict(raw: Mapping) -> PlatformConfig:
     imports = []
     for one in raw.get("import_configs") or []:

@@ -1,16 +1,20 @@
+import datetime as dt
 import json
 
 import pytest
 
-from docsettle.functions.expressions import resolve_positions
+from docsettle.functions.expressions import NamedExpression, resolve_positions
 from docsettle.plans.platforms import shipped_platforms
 from docsettle.sources.config import (
+    ExportConfig,
     ImportConfig,
     PlatformConfig,
     RelativeRange,
     configured_platforms,
     load_platforms,
+    load_versions,
     platforms_from_json,
+    to_json,
 )
 from docsettle.sources.ranges import Cell, Range
 
@@ -132,3 +136,39 @@ def test_shipped_platforms():
     assert len(imports) == 8
     assert len(exports) == 7
     assert sum(len(one.reader_configs) for one in exports) == 31
+
+
+def test_versions_from_files(spark, tmp_path):
+    early, late = tmp_path / "a", tmp_path / "b"
+    early.mkdir(), late.mkdir()
+    one = PlatformConfig("", (ImportConfig("t", "S", "A1:B", footer=True),), (ExportConfig("t", (NamedExpression("x", "count(1)"),)),))
+    (early / "v.json").write_text(to_json({"p": one}, dt.date(2024, 1, 1)))
+    (late / "w.json").write_text(to_json({"p": one, "q": PlatformConfig("libreoffice")}))
+    found = load_versions(spark, str(tmp_path))
+    assert found.starts == (None, dt.date(2024, 1, 1)) and found.platforms == ({"p": one, "q": PlatformConfig("libreoffice")}, {"p": one})
+    days = spark.createDataFrame([(dt.date(2023, 5, 1),), (dt.date(2024, 1, 1),), (None,)], "day date")
+    assert [r[0] for r in days.select(found.number(days["day"])).collect()] == [0, 1, 0]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"platforms": {"p": {"metod": ""}}}',
+        '{"platforms": {"p": {"import_configs": [{"sheets": "S"}]}}}',
+        '{"platforms": {"p": {"import_configs": [{"relative_range": {"index": 1}}]}}}',
+        '{"platforms": {"p": {"export_configs": [{"table_name": "t", "reader_configs": [{"column_name": "x", "expression": "1"}]}]}}}',
+        '{"platforms": {}, "valid": "2024-01-01"}',
+        '{"platforms": {}, "valid_from": "soon"}',
+    ],
+)
+def test_faulty_versions_are_refused(spark, tmp_path, text):
+    (tmp_path / "v.json").write_text(text)
+    with pytest.raises(ValueError):
+        load_versions(spark, str(tmp_path))
+
+
+def test_two_versions_of_one_day(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text('{"platforms": {}, "valid_from": "2024-01-01"}')
+    with pytest.raises(ValueError, match="same day"):
+        load_versions(spark, str(tmp_path))
