@@ -21,7 +21,6 @@ def build_session(app_name: str = "docsettle", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -62,44 +62,56 @@ def _pair_entries(pairs: Column) -> Column:
     return F.filter(entries, lambda e: F.length(e["key"]) > 0)
 
 
-def _all_fit(items: Column, casted: Column, kind: str) -> Column:
-    """Whether every element has this kind; JSON nulls are let through."""
-    return ~F.exists(casted, lambda c: c.isNull()) | F.forall(
-        items, lambda v: F.is_variant_null(v) | F.try_variant_get(v, "$", kind).isNotNull()
-    )
+def _fitting(items: Column, kind: str) -> Column:
+    """Every element as this kind, null if one is of another; JSON nulls are let through."""
+    casted = F.transform(items, lambda v: F.try_variant_get(v, "$", kind))
+    odd = F.filter(items, lambda v: ~F.is_variant_null(v) & F.try_variant_get(v, "$", kind).isNull())
+
+    def checked(found: Column) -> Column:
+        return F.when(~F.exists(found, lambda c: c.isNull()) | (F.size(odd) == 0), found)
+
+    # bound once, so that no element is cast again where all of them fit
+    return F.get(F.transform(F.array(casted), checked), F.lit(0))
+
+
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def _with_variant(payloads: DataFrame) -> DataFrame:
+    """Adds ``_v``, the body as a variant; of repeated keys the last one counts, whatever the session has set.
+
+    The setting is read when the column is analysed, so it is only held for that.
+    """
+    conf = payloads.sparkSession.conf
+    before = conf.get(REPEATED_KEYS)
+    conf.set(REPEATED_KEYS, "true")
+    try:
+        parsed = payloads.withColumn("_v", F.try_parse_json("body"))
+        parsed.schema  # noqa: B018
+        return parsed
+    finally:
+        conf.set(REPEATED_KEYS, before)
 
 
 def _parsed(payloads: DataFrame) -> DataFrame:
     """Adds ``objects``, ``entries`` (of pairs) and ``given`` headers, null where absent.
 
+    The kind of the first element that is not null decides what all are read as.
     Numbers come out in their plain form, 2.50 as 2.5.
     """
-    data = F.coalesce(
-        F.try_variant_get("_v", "$.data", "array<variant>"),
-        F.try_variant_get("_v", "$", "array<variant>"),
-    )
-    objects, pairs = F.col("_objects"), F.col("_pairs")
-    fitting_objects = F.when(_all_fit(F.col("_data"), objects, _OBJECT), objects)
-    fitting_pairs = F.when(_all_fit(F.col("_data"), pairs, _PAIR), _pair_entries(pairs))
-    bare = F.ltrim("body").startswith("[")
+    bare = F.col("body").rlike(r"^\s*\[")
+    data = F.when(bare, F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.try_variant_get("_v", "$.data", "array<variant>"))
+    first = F.get(F.filter("_data", lambda v: ~F.is_variant_null(v)), F.lit(0))
+    kind = F.when(first.isNotNull(), F.substring(F.schema_of_variant(first), 1, 5)).otherwise("")
+    is_pairs = (F.col("_kind") == "ARRAY") & ~bare
     return (
-        payloads.withColumn("_v", F.try_parse_json("body"))
-        .withColumns(
-            {"_data": data, "given": F.try_variant_get("_v", "$.headers", "array<string>")}
-        )
-        .withColumn(
-            "_objects", F.transform("_data", lambda v: F.try_variant_get(v, "$", _OBJECT))
-        )
-        .withColumn("objects", fitting_objects)
-        .withColumn(
-            "_pairs",
-            F.when(
-                F.col("objects").isNull() & ~bare,
-                F.transform("_data", lambda v: F.try_variant_get(v, "$", _PAIR)),
-            ),
-        )
-        .withColumn("entries", fitting_pairs)
-        .drop("_v", "_data", "_objects", "_pairs")
+        _with_variant(payloads)
+        .withColumns({"_data": data, "given": F.try_variant_get("_v", "$.headers", "array<string>")})
+        .withColumn("_kind", kind)
+        .withColumn("objects", F.when(F.col("_kind").isin("", "OBJEC"), _fitting(F.col("_data"), _OBJECT)))
+        .withColumn("_pairs", F.when(is_pairs, _fitting(F.col("_data"), _PAIR)))
+        .withColumn("entries", F.when(F.col("_pairs").isNotNull(), _pair_entries(F.col("_pairs"))))
+        .drop("_v", "_data", "_kind", "_pairs")
     )
 
 
@@ -111,9 +123,8 @@ def payload_blocks(payloads: DataFrame) -> DataFrame:
     a ``body`` column; every other column is carried along as a key.
     """
     keys = [name for name in payloads.columns if name != "body"]
-    first_row = F.coalesce(
-        F.get_json_object("body", "$.data[0]"), F.get_json_object("body", "$[0]")
-    )
+    bare = F.col("body").rlike(r"^\s*\[")
+    first_row = F.when(bare, F.get_json_object("body", "$[0]")).otherwise(F.get_json_object("body", "$.data[0]"))
     row_names = F.when(F.size("given") > 0, F.col("given")).otherwise(F.json_object_keys(first_row))
     is_object = F.col("objects").isNotNull()
     names = F.when(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from docsettle.operators import landing
 from docsettle.plans.payouts import settle_payloads
 from docsettle.sources.config import platforms_from_json
-from docsettle.sources.payloads import block_rows, payload_blocks, row_value, unreadable_payloads
+from docsettle.sources.payloads import REPEATED_KEYS, block_rows, payload_blocks, row_value, unreadable_payloads
 
 
 def parse(spark, *bodies):
@@ -14,18 +14,12 @@ def parse(spark, *bodies):
     return [(r["document_id"], r["row_no"], r["names"], r["vals"]) for r in rows], frame
 
 
-def test_wrapped_with_headers(spark):
-    body = (
-        '{"headers": ["Date", "Amount", "Platform Fee"], "data": ['
-        '{"Date": "2025-01-01", "Amount": 100.5, "Platform Fee": 10.25},'
-        '{"Amount": 200, "Date": "2025-01-02", "Extra": 1}]}'
-    )
-    names = ["Date", "Amount", "Platform Fee"]
+def test_given_headers_decide_columns_and_order(spark):
+    """Headers come last in the body, name a column no row has, and leave out a key that rows have."""
+    body = '{"data": [{"knots": 3, "buoy": "east", "crew": 9}, {"buoy": null, "draft": 1.25}], "headers": ["buoy", " draft\\n", "knots", "mast"]}'
+    names = ["buoy", "draft", "knots", "mast"]
     found, _ = parse(spark, body)
-    assert found == [
-        (0, 1, names, ["2025-01-01", "100.5", "10.25"]),
-        (0, 2, names, ["2025-01-02", "200", None]),
-    ]
+    assert found == [(0, 1, names, ["east", None, "3", None]), (0, 2, names, [None, "1.25", None, None])]
 
 
 def test_bare_and_empty(spark):
@@ -114,3 +108,18 @@ def test_settle_payloads_with_footer(spark):
     documents = payloads.select("document_id")
     rows = settle_payloads(documents, payloads, "p", config, "Out").orderBy("document_id").collect()
     assert [(r["total_orders"], r["gross_sales_amt"]) for r in rows] == [(2, 1.5), (0, 0.0)]
+
+
+@pytest.mark.parametrize("setting", ["false", "true"])
+def test_repeated_keys_in_any_session(spark, setting):
+    """Which payloads are readable does not depend on who built the session, nor does reading them change it."""
+    spark.conf.set(REPEATED_KEYS, setting)
+    try:
+        bodies = ['{"data": [{"a": 1, "a": 2, "b": "x"}]}', '\n[{"a": 5}, null]', '{"data": [["a", 1], ["a", 2]], "data2": 1, "data2": 2}', '{"data": [5]}']
+        frame = spark.createDataFrame(list(enumerate(bodies)), "document_id bigint, body string")
+        rows = block_rows(payload_blocks(frame)).select("document_id", row_value(F.lit("a")).alias("a")).orderBy("document_id", "row_no")
+        assert [tuple(r) for r in rows.collect()] == [(0, "2"), (1, "5"), (1, None), (2, "2")]
+        assert [r[0] for r in unreadable_payloads(frame).select("document_id").collect()] == [3]
+        assert spark.conf.get(REPEATED_KEYS) == setting
+    finally:
+        spark.conf.unset(REPEATED_KEYS)
