@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from docsettle.session import staged
 
+GROUP_SHARE = 8  # a group of equal texts stays whole up to this part of a shard
 SAMPLE = 1_000_000  # splitters come from about as many records at most
 
 
@@ -48,7 +49,9 @@ def shard(
     """``id, size, text_crc32, shard, slot`` per row.
 
     A row's size is its text's UTF-8 bytes and 8. Shards are 0 to ``shards - 1``; their sizes
-    differ by less than the longest row or so. ``slot`` counts a shard's rows from 0 in order.
+    differ by less than the longest row or an eighth of a shard or so. ``slot`` counts a shard's rows from 0 in order.
+    Rows of equal texts are neighbours in that order. A group of them that has up to an eighth of a shard's share is never
+    cut: it goes where its middle lies. A larger group goes on in the next shard where the shares ask for it.
     A null text has no bytes and the checksum of an empty one. Null ids sort as 0; repeated rows
     stay, each with a slot of its own. An empty table gives an empty result.
     """
@@ -103,16 +106,22 @@ def shard(
     spark = documents.sparkSession
     known = spark.createDataFrame(starts, "range long, bytes_before long, rows_before long")
     order = Window.partitionBy("range").orderBy("a", "b", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.join(F.broadcast(known), "range")
-    middle = F.col("bytes_before") + F.sum("size").over(order) - F.col("size") / 2
-    placed = placed.select(
+    placed = dealt.join(F.broadcast(known), "range").select(
         "id",
         "size",
         "text_crc32",
-        "range",
-        F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int").alias("shard"),
+        "a",
+        (F.col("bytes_before") + F.sum("size").over(order) - F.col("size")).alias("start"),
         (F.col("rows_before") + F.count("*").over(order) - 1).alias("row"),
     )
+    placed = staged(placed, "ordered")
+    groups = placed.groupBy("a").agg(F.min("start").alias("begin"), F.sum("size").alias("held"), F.count("*").alias("n"))
+    whole = groups.where((F.col("n") > 1) & (F.col("held") * GROUP_SHARE * shards <= total))
+    whole = whole.select("a", (F.col("begin") + F.col("held") / 2).alias("group_middle"))
+    middle = F.coalesce("group_middle", F.col("start") + F.col("size") / 2)
+    placed = placed.join(whole, "a", "left").select(
+        "id", "size", "text_crc32", F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int").alias("shard"), "row"
+    )
     placed = staged(placed, "placed")
     heads = placed.groupBy("shard").agg(F.min("row").alias("head"))  # as many rows as shards
     return placed.join(F.broadcast(heads), "shard").select(

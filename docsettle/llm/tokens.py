@@ -10,6 +10,7 @@ of the same meaning, or go to the tokenizer whole.
 from __future__ import annotations
 
 import re
+import struct
 import sys
 
 import numpy as np
@@ -54,7 +55,8 @@ class _Maker:
 
 class _Ids(_Maker):
     def of(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def both(self, a: bytes, b: bytes) -> bytes:
         return a + b
