@@ -18,6 +18,7 @@ from docsettle.session import staged
 Links = Callable[[list[bytes], list[bytes] | None], list[tuple[int, int]]]
 
 EDGE = "a binary, b binary"
+FEW_HEAVY = 100_000  # so many heavy cells' names are sent to all tasks
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -52,9 +53,10 @@ def cell_links(cells: DataFrame, links: Links, task_weight: int) -> DataFrame:
     cells = staged(cells.select("cell", "node", "payload", "weight"), "cells")
     totals = cells.groupBy("cell").agg(F.sum("weight").alias("total"), F.count("*").alias("nodes"))
     heavy = totals.where(F.col("total") > task_weight).where("nodes > 1")
+    few = heavy.limit(FEW_HEAVY + 1).count()  # mostly none, and then nothing has to move for them
+    kept = cells.join(F.broadcast(heavy) if few <= FEW_HEAVY else heavy, "cell", "left_anti") if few else cells
     light = (
-        cells.join(heavy, "cell", "left_anti")
-        .select("cell", "node", "payload")
+        kept.select("cell", "node", "payload")
         .repartition(parts, "cell")
         .sortWithinPartitions("cell", "node")
     )
@@ -66,7 +68,7 @@ def cell_links(cells: DataFrame, links: Links, task_weight: int) -> DataFrame:
 
     found = light.mapInArrow(within, EDGE)
     blocks = heavy.select("cell", F.ceil(2 * F.col("total") / task_weight).cast("long").alias("blocks"))
-    if not blocks.head(1):
+    if not few:
         return found
 
     members = cells.join(blocks, "cell")
