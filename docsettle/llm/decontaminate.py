@@ -2,9 +2,9 @@
 
 The automaton holds every run of words of every item, in a number of states bounded by twice
 the items' words. Items of more than ``MAX_ITEM_WORDS`` words are cut into blocks of at most so
-many (or one longer item), an automaton each, small enough to travel with each task. A text is
+many, an automaton each, small enough to travel with each task. A text is
 streamed through a block's automaton once; the state tells the longest run that ends at each word.
-Several blocks scan in turn, and what they find is merged by row. Memory per task is one automaton
+Several blocks scan in turn, each a job of its own, and what they find is merged by row. The driver and a task hold one automaton
 and one batch of texts.
 """
 
@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsettle.llm.components import batch_bytes
+from docsettle.session import staged
 
 WINDOW = 13
-MAX_ITEM_WORDS = 1_000_000
+MAX_ITEM_WORDS = 100_000  # an automaton of so many words takes about 76 MB in the process that holds it
 
 # bytes of words as they are, in lower case; all others blank. Bytes above 0x7F belong to words.
 _FOLD = bytes(
@@ -126,6 +127,11 @@ class Automaton:
         state = nexts[state].get(c, 0)
         return (state, n + 1) if state else (0, 0)
 
+    def hits(self, texts: list[bytes | None]) -> list[tuple[list[tuple[int, int]], set[str]]]:
+        """Spans and names of items of each text."""
+        found = (self.scan(words_of(text)) for text in texts)
+        return [(spans, {self.names[k] for k in items}) for spans, items in found]
+
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Merged word spans inside windows, and the items whose windows occur."""
         if len(words) < self.shortest or not self.names:
@@ -159,20 +165,28 @@ class Automaton:
         return spans, items
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int | None = None) -> Iterator[list]:
-    """Items with their words, in blocks of at most ``words`` words (``MAX_ITEM_WORDS``) or one longer item."""
-    words = words or MAX_ITEM_WORDS
+def item_blocks(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int | None = None, size: int = WINDOW
+) -> Iterator[list]:
+    """Items with their words, in blocks of at most ``words`` words (``MAX_ITEM_WORDS``).
+
+    A longer item is several, which overlap so that none of its windows is lost. Items come to the driver a partition
+    at a time, and one block of them is held.
+    """
+    words = max(words or MAX_ITEM_WORDS, size)
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
     rows = items.where("t IS NOT NULL AND i IS NOT NULL").distinct().orderBy("i", "t")
     block, held = [], 0
     for row in rows.toLocalIterator():
-        own = words_of(row["t"].encode())
-        if block and held + len(own) > words:
-            yield block
-            block, held = [], 0
-        if own:
-            block.append((row["i"], own))
-            held += len(own)
+        whole = words_of(row["t"].encode())
+        for begin in range(0, max(len(whole) - size, 0) + 1, words - size + 1):
+            own = whole[begin : begin + words]
+            if block and held + len(own) > words:
+                yield block
+                block, held = [], 0
+            if own:
+                block.append((row["i"], own))
+                held += len(own)
     yield block
 
 
@@ -224,53 +238,66 @@ def decontaminate(
     A null or empty text has no words and is not contaminated. Items without words, null items
     and null item ids match nothing; equal texts under several ids are several items; an id with
     several texts, or repeated, counts once. An empty benchmark leaves all as it is. Columns outside
-    ``carry`` are not read. ``block_words`` bounds the words of one automaton's items.
+    ``carry`` are not read. ``block_words`` bounds the words of one automaton's items; where there are several
+    automata, the carried columns and texts are staged once, with a number for each row.
     """
     context = documents.sparkSession.sparkContext
-    blocks = [context.broadcast(Automaton(x, size)) for x in item_blocks(benchmark, words=block_words)]
+    blocks = item_blocks(benchmark, words=block_words, size=size)
+    block, following = next(blocks), next(blocks, None)
     parts = round(max_coverage * 10_000)
-    keep = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)), F.col(text_col).cast("string").alias("t"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch_bytes(batch.column(batch.num_columns - 1))
-            hits: list[tuple[list, set]] = [([], set()) for _ in texts]
-            for shared in blocks:
-                automaton = shared.value
-                for (spans, names), text in zip(hits, texts, strict=True):
-                    more, items = automaton.scan(words_of(text))
-                    spans.extend(more), names.update(automaton.names[k] for k in items)
-                if len(blocks) > 1 and getattr(shared, "_path", None):
-                    del automaton
-                    shared.__dict__.pop("_value", None)  # read again from its file for the next batch
-            out: dict[str, list] = {n: [] for n in ("w", "h", "i", "s", "bad", "spans", "clean")}
-            for (spans, items), text in zip(hits, texts, strict=True):
-                words = words_of(text)
-                spans = merged_spans(spans)
-                hit = sum(end - begin for begin, end in spans)
-                bad = hit > 0 and 10_000 * hit >= parts * len(words)
-                names = sorted(items)
-                out["w"].append(len(words)), out["h"].append(hit), out["i"].append(len(names))
-                out["s"].append(hashlib.sha256(",".join(names).encode()).hexdigest())
-                out["bad"].append(bad)
-                out["spans"].append([{"first": a, "end": b} for a, b in spans])
-                cut = [x for x in spans if max_span is not None and x[1] - x[0] >= max_span]
-                clean = without_spans(text, cut) if cut else text
-                out["clean"].append(clean.decode() if with_text and text is not None and not bad else None)
-            span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span, pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))],
-                [*batch.schema.names[:-1], *out],
-            )
-
-    kinds = ", ".join(f"c{i} {keep.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carry)))
-    found = keep.mapInArrow(
-        scan,
-        f"{kinds}, w long, h long, i long, s string, bad boolean, spans array<struct<first: long, end: long>>, clean string",
-    )
+    names = [f"c{i}" for i in range(len(carry))]
+    keep = documents.select(*(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)), F.col(text_col).cast("string").alias("t"))
+    kinds = ", ".join(f"{n} {keep.schema[n].dataType.simpleString()}" for n in names)
+
+    def report(texts: list[bytes | None], hits: list[tuple[list, set]]) -> list[pa.Array]:
+        out: dict[str, list] = {n: [] for n in ("w", "h", "i", "s", "bad", "spans", "clean")}
+        for (spans, items), text in zip(hits, texts, strict=True):
+            count = len(words_of(text))
+            spans = merged_spans(spans)
+            hit = sum(end - begin for begin, end in spans)
+            bad = hit > 0 and 10_000 * hit >= parts * count
+            found = sorted(items)
+            out["w"].append(count), out["h"].append(hit), out["i"].append(len(found))
+            out["s"].append(hashlib.sha256(",".join(found).encode()).hexdigest())
+            out["bad"].append(bad)
+            out["spans"].append([{"first": a, "end": b} for a, b in spans])
+            cut = [x for x in spans if max_span is not None and x[1] - x[0] >= max_span]
+            clean = without_spans(text, cut) if cut else text
+            out["clean"].append(clean.decode() if with_text and text is not None and not bad else None)
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), _SPANS, pa.string()]
+        return [pa.array(v, k) for v, k in zip(out.values(), types, strict=True)]
+
+    reported = f"{kinds}, w long, h long, i long, s string, bad boolean, {SPANS}, clean string"
+    columns = [*names, "w", "h", "i", "s", "bad", "spans", "clean"]
+    if following is None:
+        shared = context.broadcast(Automaton(block, size))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch_bytes(batch.column(batch.num_columns - 1))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *report(texts, shared.value.hits(texts))], columns)
+
+        found = keep.mapInArrow(scan, reported)
+    else:
+        numbered = staged(keep.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        hits = None
+        while block is not None:  # one automaton on the driver and in the tasks at a time
+            part = _block_hits(numbered, Automaton(block, size))
+            hits = part if hits is None else hits.union(part)
+            block, following = following, next(blocks, None) if following is not None else None
+        merged = hits.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+        joined = numbered.join(merged, "row", "left").select(*names, "spans", "items", "t")
+
+        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch_bytes(batch.column(batch.num_columns - 1))
+                spans, items = (batch.column(batch.num_columns - k).to_pylist() for k in (3, 2))
+                own = [([(x["first"], x["end"]) for x in s or []], set(i or [])) for s, i in zip(spans, items, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *report(texts, own)], columns)
+
+        found = joined.mapInArrow(gather, reported)
     return found.select(
-        *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)),
+        *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)),
         F.col("w").alias("n_words"),
         F.col("h").alias("n_hit"),
         F.col("i").alias("n_items"),
@@ -279,3 +306,26 @@ def decontaminate(
         "spans",
         *([F.col("clean").alias("clean_text")] if with_text else []),
     )
+
+
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+SPANS = "spans array<struct<first: long, end: long>>"
+
+
+def _block_hits(numbered: DataFrame, automaton: Automaton) -> DataFrame:
+    """``row, spans, items`` of the rows in which one block's items occur, as a table of the shared folder."""
+    shared = numbered.sparkSession.sparkContext.broadcast(automaton)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = shared.value.hits(batch_bytes(batch.column(1)))
+            at = [k for k, (spans, _) in enumerate(hits) if spans]
+            spans = [[{"first": a, "end": b} for a, b in hits[k][0]] for k in at]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array(spans, _SPANS), pa.array([sorted(hits[k][1]) for k in at], pa.list_(pa.string()))],
+                ["row", "spans", "items"],
+            )
+
+    found = staged(numbered.select("row", "t").mapInArrow(scan, f"row long, {SPANS}, items array<string>"), "hits")
+    shared.destroy()
+    return found

@@ -334,8 +334,9 @@ def test_decontaminate_by_blocks_of_items(spark, docs, monkeypatch):
     items = [(f"i{k}", " ".join(rng.choices(WORDS, k=rng.randint(2, 30)))) for k in range(12)]
     bench = spark.createDataFrame([*items, ("blank", " - ")], "item_id string, text string")
     whole = decontaminate.decontaminate(docs, bench, max_span=13)
-    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 20)
+    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 20)  # items of up to 30 words are cut as well
     assert len(list(decontaminate.item_blocks(bench))) > 3
+    assert max(sum(len(w) for _, w in block) for block in decontaminate.item_blocks(bench)) <= 20
     parts = decontaminate.decontaminate(docs, bench, max_span=13)
     assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
 
