@@ -4,8 +4,8 @@ A page is cut into blocks. Blocks in menus, headers, footers, side columns, noti
 forms and comments, by element or by class, id and role, are no content. Each page is paired
 with the page of the same host whose path is nearest in order, the blocks of the two are aligned
 by a longest common subsequence, and shared blocks are deleted, for they belong to the site.
-Blocks inside an article (or main) element are the page's own by its author's word: they stay
-even when a neighbour, such as a copy of the article, shares them.
+Blocks inside an article element are the page's own by its author's word: they stay
+even when a neighbour shares them. In a main element, or in pages without either, differencing decides.
 """
 
 from __future__ import annotations
@@ -16,9 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsettle.session import staged
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|title|textarea|select|button|object|canvas|math)\b"
@@ -53,6 +56,7 @@ _COMMENT_WORDS = frozenset("comment comments reply replies discussion ad ads adv
 class Block:
     text: str
     in_main: bool
+    in_article: bool
     is_links: bool  # all of its text is link text
 
 
@@ -103,13 +107,13 @@ def blocks_of(page: str | None) -> list[Block]:
     out: list[Block] = []
     run: list[str] = []
     linked = plain = False
-    main = links = 0
+    main = article = links = 0
 
     def close() -> None:
         nonlocal linked, plain
         text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
         if text:
-            out.append(Block(text, main > 0, linked and not plain))
+            out.append(Block(text, main > 0, article > 0, linked and not plain))
         run.clear()
         linked = plain = False
 
@@ -134,6 +138,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if token[2]:
             if name in _MAIN:
                 main = max(0, main - 1)
+                article = max(0, article - (name == "article"))
             elif name == "a":
                 links = max(0, links - 1)
             continue
@@ -149,6 +154,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 continue
         if name in _MAIN:
             main += 1
+            article += name == "article"
         elif name == "a":
             links += 1
     add(page[at:])
@@ -219,18 +225,43 @@ def _common(a: list[str], b: list[str], most_bits: int = 1 << 30) -> set[int]:
     return found
 
 
-def main_text(own: list[Block], neighbour: list[Block] | None) -> str:
-    """The article of a page, given the blocks of its neighbour."""
-    shared = shared_lines([b.text for b in own], [b.text for b in neighbour]) if neighbour else set()
+def main_text(own: list[Block], deleted: set[int]) -> str:
+    """The article of a page, given the blocks that it shares with a neighbour.
+
+    What stands in an article element is the article. Elsewhere shared blocks go: within main elements if there are
+    any, else in the whole page, where blocks of links alone go too.
+    """
     marked = any(b.in_main for b in own)
     kept = [
         b.text
         for i, b in enumerate(own)
-        if (b.in_main if marked else i not in shared and not b.is_links)
+        if (b.in_main and (b.in_article or i not in deleted) if marked else i not in deleted and not b.is_links)
     ]
     return " ".join(kept)
 
 
+#: A page is a near copy of another one that has nine tenths of its lines.
+NEARLY_ALL = 9
+Beside = tuple[str, list[int]]  # path and lines of a page
+
+
+def difference(lines: list[int], path: str, before: Beside | None, after: Beside | None) -> list[int]:
+    """Positions of a page's lines that it shares with its neighbour: the one of the two that has more of its path in common.
+
+    On a tie the one that shares more lines counts, then the one before. A neighbour that has nearly all of the lines
+    is a near copy and tells nothing about them; then the other one counts.
+    """
+    found = []
+    for place, other in enumerate((before, after)):
+        if other is not None:
+            shared = shared_lines(lines, other[1])
+            found.append((-_nearness(other[0], path), -len(shared), place, shared))
+    for _, _, _, shared in sorted(found, key=lambda x: x[:3]):
+        if len(shared) * 10 < len(lines) * NEARLY_ALL:
+            return sorted(shared)
+    return []
+
+
 def _site(url: Column) -> tuple[Column, Column]:
     """Host and path of a URL; the path without query, fragment, ending and last slash."""
     rest = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), "^[a-z][a-z0-9+.-]*://", "")
@@ -248,60 +279,160 @@ def _nearness(a: str, b: str) -> int:
     return n
 
 
+_LINES = pa.list_(pa.int64())
+_FOUND = pa.schema(
+    [
+        *(("k1", pa.int64()), ("k2", pa.int64()), ("deleted", pa.list_(pa.int32()))),
+        *(("open", pa.int32()), ("part", pa.int32()), ("place", pa.int32()), ("host", pa.string())),
+        *(("path", pa.string()), ("lines", _LINES), ("b_path", pa.string()), ("b_lines", _LINES), ("a_path", pa.string()), ("a_lines", _LINES)),
+    ]
+)
+_FOUND_TABLE = (
+    "k1 long, k2 long, deleted array<int>, open int, part int, place int, host string, path string, lines array<long>, "
+    "b_path string, b_lines array<long>, a_path string, a_lines array<long>"
+)
+
+
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range of pages (``host, path, k1, k2, lines, part``): deleted lines, pages that wait, and the range's ends.
+
+    ``open`` tells what a page waits for: 1 the page before, 2 the page after. An end has a ``place``: 0 and 1 are the first
+    pages of the first two runs of equal lines, 2 and 3 the last pages of the last two.
+    """
+    out: list[dict] = []
+    run: list[tuple] = []
+    runs = 0
+    before: Beside | None = None
+    earlier: tuple | None = None  # last page of the run before
+
+    def place(number: int, page: tuple) -> None:
+        out.append({"place": number, "part": page[5], "host": page[0], "path": page[1], "lines": page[4]})
+
+    def settle(after: Beside | None, last: bool) -> None:
+        waits = (runs == 1) + 2 * last
+        lines = run[0][4]
+        for _, path, k1, k2, _, part in run:
+            if waits:
+                out.append({"k1": k1, "k2": k2, "open": waits, "part": part, "path": path, "lines": lines} | _sides(before, after))
+            elif deleted := difference(lines, path, before, after):
+                out.append({"k1": k1, "k2": k2, "open": 0, "part": part, "deleted": deleted})
+
+    for batch in batches:
+        for page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if run and run[0][0] == page[0] and run[0][4] == page[4]:
+                run.append(page)
+                continue
+            if run:
+                same = run[0][0] == page[0]
+                settle((page[1], page[4]) if same else None, False)
+                earlier = run[-1]
+                before = (earlier[1], earlier[4]) if same else None
+            run = [page]
+            runs += 1
+            if runs <= 2:
+                place(runs - 1, page)
+        if len(out) >= 1_000:
+            yield pa.RecordBatch.from_pylist(out, _FOUND)
+            out.clear()
+    if run:
+        settle(None, True)
+        place(3, run[-1])
+        if earlier is not None:
+            place(2, earlier)
+    yield pa.RecordBatch.from_pylist(out, _FOUND)
+
+
+def _sides(before: Beside | None, after: Beside | None) -> dict:
+    known = {"b": before, "a": after}
+    return {f"{k}_{n}": v for k, side in known.items() if side is not None for n, v in zip(("path", "lines"), side, strict=True)}
+
+
+def _across(ends: list[dict[int, tuple]], at: int, ways: range, near: int, beyond: int, own: int) -> Beside | None:
+    """The next page of other lines on the host of an end of range ``at``, in the ranges ``ways``."""
+    host, _, lines = ends[at][own]
+    for k in ways:
+        page = ends[k][near]
+        if page[0] == host and page[2] == lines:  # the same run goes on
+            if beyond not in ends[k]:
+                continue
+            page = ends[k][beyond]
+        return (page[1], page[2]) if page[0] == host else None
+    return None
+
+
+def differences(ordered: DataFrame) -> DataFrame:
+    """``k1, k2, deleted`` of the pages (``host, path, k1, k2, lines``, sorted in ranges) that share lines with a neighbour.
+
+    Neighbours of a page are the nearest ones before and after it on its host whose lines differ from its own, so copies have the
+    same ones. Pages whose neighbour lies in another range wait: the four ends of each range, which are few rows for the driver,
+    tell them. Nothing depends on where ranges begin.
+    """
+    found = staged(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_differ, _FOUND_TABLE), "differences")
+    rows = found.where("place IS NOT NULL").select("part", "place", "host", "path", "lines").collect()
+    by_part: dict[int, dict[int, tuple]] = {}
+    for r in rows:
+        by_part.setdefault(r["part"], {})[r["place"]] = (r["host"], r["path"], r["lines"])
+    parts = sorted(by_part)
+    ends = [by_part[k] for k in parts]
+    context = []
+    for at, part in enumerate(parts):
+        before = _across(ends, at, range(at - 1, -1, -1), 3, 2, 0)
+        after = _across(ends, at, range(at + 1, len(parts)), 0, 1, 3)
+        context.append((part, *(before or (None, None)), *(after or (None, None))))
+    schema = "part int, from_path string, from_lines array<long>, to_path string, to_lines array<long>"
+    known = ordered.sparkSession.createDataFrame(context, schema)  # one row per range
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                beside = []
+                for own, far, bit in (("b", "from", 1), ("a", "to", 2)):
+                    side = far if r["open"] & bit else own
+                    path, lines = r[f"{side}_path"], r[f"{side}_lines"]
+                    beside.append(None if path is None else (path, lines))
+                if deleted := difference(r["lines"], r["path"], *beside):
+                    out.append({"k1": r["k1"], "k2": r["k2"], "deleted": deleted})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([_FOUND.field(k) for k in range(3)]))
+
+    waiting = found.where("open > 0").drop("deleted", "place", "host").join(F.broadcast(known), "part")
+    settled = waiting.mapInArrow(settle, "k1 long, k2 long, deleted array<int>")
+    return found.where("open = 0").select("k1", "k2", "deleted").union(settled)
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text, n_chars``, one row per input row; ``text`` is empty where there is no article.
 
-    Pages are put in order of host and path by ranges, which split a host of any size; a page's
-    neighbour is the one before or after it in its range and host that shares more of its path
-    (the one before on a tie). A page alone in its host and range has none. A null html is an
-    empty page; pages with a null or empty url are one host. Repeated rows are neighbours, and
-    without an article element they delete each other's lines, as any two equal pages do.
+    Pages are put in order of host and path, by hashes of their blocks; a page's neighbour is the nearest page before or after it on
+    its host that has other blocks, the one that shares more of its path (on a tie, more blocks). If that is a
+    near copy, the other one counts. A page without such a neighbour keeps its blocks. Texts are cut where the pages lie, and only what is
+    deleted is joined to them. A null html is an empty page; pages with a null or empty url are one host. Repeated
+    rows and copies have the same neighbours.
     """
-    host, path = _site(F.col(url_col).cast("string"))
-    rows = pages.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"), path.alias("path")
-    )
+    url, page = F.col(url_col).cast("string"), F.col(html_col).cast("string")
+    host, path = _site(url)
+    first = F.xxhash64(F.col(id_col), F.col(url_col), page).alias("k1")
+    second = F.xxhash64(F.lit(1), F.col(id_col), F.col(url_col), page).alias("k2")
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = rows.repartitionByRange(parts, "host", "path", "id").sortWithinPartitions("host", "path", "id")
-
-    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window: list[tuple] = []  # a page with the pages beside it
-
-        def emit(ready: list[tuple]) -> pa.RecordBatch:
-            ids, urls, texts = zip(*ready, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, id_type),
-                    pa.array(urls, url_type),
-                    pa.array(texts, pa.string()),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                ],
-                ["id", "url", "text", "n_chars"],
-            )
-
-        def solve(before: tuple | None, page: tuple, after: tuple | None) -> tuple:
-            beside = [p for p in (before, after) if p is not None and p[2] == page[2]]
-            best = max(beside, key=lambda p: _nearness(p[3], page[3]), default=None)
-            return page[0], page[1], main_text(page[4], best[4] if best else None)
-
-        ready: list[tuple] = []
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [[xxhash.xxh3_64_intdigest(b.text) - (1 << 63) for b in blocks_of(p)] for p in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(lines, _LINES)], ["host", "path", "k1", "k2", "lines"])
+
+    light = pages.select(host.alias("host"), path.alias("path"), first, second, page.alias("html"))
+    light = light.mapInArrow(hashed, "host string, path string, k1 long, k2 long, lines array<long>")
+    order = ("host", "path", "k1", "k2")
+    deleted = differences(light.repartitionByRange(parts, *order).sortWithinPartitions(*order)).dropDuplicates(["k1", "k2"])
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), page.alias("html"), first, second)
+    joined = rows.join(staged(deleted, "deleted"), ["k1", "k2"], "left").select("id", "url", "html", "deleted")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            id_type, url_type = batch.schema.field(0).type, batch.schema.field(1).type
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                page = (row[0], row[1], row[3], row[4], blocks_of(row[2]))
-                window.append(page)
-                if len(window) == 3:
-                    ready.append(solve(*window))
-                    window.pop(0)
-                elif len(window) == 2:
-                    ready.append(solve(None, window[0], page))
-                if len(ready) >= 500:
-                    yield emit(ready)
-                    ready = []
-        if window:
-            ready.append(solve(window[0] if len(window) == 2 else None, window[-1], None))
-        if ready:
-            yield emit(ready)
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            texts = [main_text(blocks_of(p), set(gone or [])) for p, gone in both]
+            lengths = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), lengths], ["id", "url", "text", "n_chars"])
 
     kinds = [rows.schema[c].dataType.simpleString() for c in ("id", "url")]
-    return near.mapInArrow(differ, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
+    return joined.mapInArrow(cut, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")

@@ -503,7 +503,7 @@ def test_pages(spark, empty):
     texts = {r["id"]: r["text"] for r in got}
     assert len(got) == 6 and texts[1] == "T one & two three x" and texts[4] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in got)
-    assert pages.main_text(pages.blocks_of(table[1][2]), pages.blocks_of(table[2][2])) == "own text"
+    assert texts[2] == "own text" and texts[3] == "other text" and texts[5] == "plain < text"
     assert pages.extract(frame.limit(0)).count() == 0
     rng = random.Random(4)
     for _ in range(300):
@@ -515,6 +515,56 @@ def test_pages(spark, empty):
         assert len(pages.shared_lines(a, b)) == len(pages._common(a, b, 4)) == best[-1][-1]
 
 
+def expected_page_texts(table):
+    """Neighbours by looking at all pages of a host in order."""
+    from urllib.parse import urlsplit
+
+    known = []
+    for i, url, page, *_ in table:
+        split = urlsplit(url or "")
+        path = split.path.removesuffix("/").removesuffix(".html")
+        known.append((split.netloc, path, tuple(b.text for b in pages.blocks_of(page)), (i, url, page)))
+    texts = {}
+    for host, path, lines, key in known:
+        others = [o for o in known if o[0] == host and o[2] != lines]
+        before = max((o for o in others if o[1] < path), key=lambda o: o[1], default=None)
+        after = min((o for o in others if o[1] > path), key=lambda o: o[1], default=None)
+        beside = [None if o is None else (o[1], list(o[2])) for o in (before, after)]
+        texts[key] = pages.main_text(pages.blocks_of(key[2]), set(pages.difference(list(lines), path, *beside)))
+    return texts
+
+
+def test_pages_are_the_same_however_they_are_dealt(spark):
+    """With 1, 3 and 64 ranges; runs of copies go over several of them."""
+    rng = random.Random(7)
+    table = []
+    for k in range(60):
+        host = rng.choice(["a.org", "b.org", "c.org"])
+        kind = rng.choice(["p", "main", "article"])
+        own = "".join(f"<p>{' '.join(rng.choices(WORDS, k=5))}</p>" for _ in range(rng.randint(1, 6)))
+        page = f"<body><p>Site {host}</p><p>Menu</p><{kind}>{own}<p>Site note</p></{kind}><p>All rights</p></body>"
+        table.append((k, f"http://{host}/x/{k:03}", page))
+    copy = table[20][2]
+    table += [(100 + k, f"http://a.org/x/{k + 30:03}5", copy) for k in range(25)] + [table[3], table[3], (200, "http://d.org/1", copy)]
+    table += [(201, f"http://e.org/{k}", None) for k in range(3)]
+    frame = spark.createDataFrame(table, "page_id bigint, url string, html string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for parts in ("1", "3", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            results.append(sorted((r["id"], r["url"], r["text"]) for r in pages.extract(frame).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] == results[2]
+    wanted = {key[:2]: text for key, text in expected_page_texts(table).items()}
+    assert results[0] == sorted((i, u, wanted[(i, u)]) for i, u, _ in table)
+    for i, url, page in table[:60]:
+        text = wanted[(i, url)]
+        assert "All rights" not in text and "Menu" not in text
+        assert ("Site note" in text) == ("<article>" in page)
+
+
 def test_warc(spark):
     table = [
         ("<urn:uuid:1>", "http://a/1", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nServer: x", "<p>one<p>two &amp; more", 1),
