@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docsettle.fixed import FORMULA_ERROR
 from docsettle.functions.scalars import clean_name
+from docsettle.session import setting
 
 _OBJECT = "map<string,string>"
 _PAIR = "array<variant>"
@@ -82,15 +83,10 @@ def _with_variant(payloads: DataFrame) -> DataFrame:
 
     The setting is read when the column is analysed, so it is only held for that.
     """
-    conf = payloads.sparkSession.conf
-    before = conf.get(REPEATED_KEYS)
-    conf.set(REPEATED_KEYS, "true")
-    try:
+    with setting(payloads.sparkSession, REPEATED_KEYS, "true"):
         parsed = payloads.withColumn("_v", F.try_parse_json("body"))
         parsed.schema  # noqa: B018
-        return parsed
-    finally:
-        conf.set(REPEATED_KEYS, before)
+    return parsed
 
 
 def _parsed(payloads: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from docsettle.functions.scalars import document_id
 from docsettle.operators.landing import write_table
 from docsettle.operators.ledger import first_requests
 from docsettle.operators.membership import Membership
+from docsettle.session import setting
 from docsettle.streaming.repeats import decide, with_outcomes
 
 Flow = Callable[[DataFrame, int], Mapping[str, DataFrame]]
@@ -112,10 +113,7 @@ def run_intake(
     It takes what is available and ends; a scheduler or a longer trigger repeats it. State that has
     expired goes with the next requests and not in batches of its own, which would have nothing to process.
     """
-    spark, without = requests.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(without)
-    spark.conf.set(without, "false")  # a query keeps the settings of its start
-    try:
+    with setting(requests.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):  # a query keeps it
         return (
             undecided(requests, root, horizon_days)
             .writeStream.option("checkpointLocation", checkpoint)
@@ -123,5 +121,3 @@ def run_intake(
             .foreachBatch(lambda batch, number: process_batch(batch, number, root, flows))
             .start()
         )
-    finally:
-        spark.conf.set(without, before)
