@@ -358,6 +358,23 @@ def test_quality(docs, rows, empty):
     assert quality.assess(empty).count() == 0
 
 
+def test_rules_are_ordered_given_those_before():
+    # the second rule rejects most, but only what the first one rejects for less
+    verdicts = [(True, True, False)] * 6 + [(False, True, False)] + [(False, False, True)] * 3 + [(False,) * 3] * 5
+    assert quality.greedy_order(verdicts, [1.0, 1.4, 1.0]) == [0, 2, 1]
+    assert quality.greedy_order(verdicts, [1.0, 1.0, 1.0]) == [1, 2, 0]
+    assert quality.greedy_order([], [2.0, 1.0]) == [1, 0]
+
+
+def test_the_order_of_rules_does_not_change_the_verdict(spark, docs, empty):
+    rules = quality.BASE + quality.RULES
+    assert quality.cascade_order(empty, "text", rules) == rules
+    assert sorted(r.name for r in quality.cascade_order(docs, "text", rules)) == sorted(r.name for r in rules)
+    text = docs["text"]
+    kept = [docs.where(quality.passes(text, order)).count() for order in (rules, rules[::-1])]
+    assert kept[0] == kept[1] == quality.keep_good(docs).count()
+
+
 def test_encoder_is_the_tokenizer():
     from tokenizers import Tokenizer
 
