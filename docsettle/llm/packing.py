@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsettle.llm.components import slices
-from docsettle.llm.tokens import worker_encoder
+from docsettle.llm.tokens import MOST_WORDS, worker_encoder
 from docsettle.session import staged
 
 END = np.array([0], "<u4").tobytes()
@@ -42,15 +42,17 @@ def pieces(
     text_col: str = "text",
     capacity: int = 2048,
     with_ids: bool = True,
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """``id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (little-endian, 4 bytes each).
 
-    A document is the ids of its whole text and id 0; a null text is an empty one.
+    A document is the ids of its whole text and id 0; a null text is an empty one. ``most_words`` bounds the words
+    whose ids a worker remembers: memory for time.
     """
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path, most_words)
         for part in slices(batches, 512):
             rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
             for row, text in enumerate(part.column(1).to_pylist()):

@@ -80,7 +80,7 @@ def token_file(name: str = "byte_bpe_50k.json") -> str:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docsettle.llm.packing import pack, pieces
 
-    cut = pieces(table(spark, sf_dir, "documents"), token_file(), with_ids=False)
+    cut = pieces(table(spark, sf_dir, "documents"), token_file(), with_ids=False, most_words=1_000_000)
     return pack(cut).withColumnRenamed("id", "doc_id")
 
 

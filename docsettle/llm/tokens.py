@@ -17,15 +17,15 @@ import numpy as np
 
 _PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _OTHER_BLANK = re.compile(r"[^\S \n\t\r]")
-_MOST_WORDS = 400_000
+MOST_WORDS = 400_000  # about 80 MB a worker process; fewer words go to the tokenizer again with more
 _ENDS = frozenset(",.;:!?")
 
 
 class _Words(dict):
     """What the tokenizer makes of ``lead`` and a word."""
 
-    def __init__(self, make, lead: str) -> None:
-        self.make, self.lead = make, lead
+    def __init__(self, make, lead: str, most: int) -> None:
+        self.make, self.lead, self.most = make, lead, most
 
     def __missing__(self, word: str):
         value = None
@@ -35,7 +35,7 @@ class _Words(dict):
                 value = self.make.both(self[word[:-1]], self.make.end(word[-1]))
         if value is None:
             value = self.make.of(self.lead + word)
-        if len(self) < _MOST_WORDS:
+        if len(self) < self.most:
             self[word] = value
         return value
 
@@ -55,7 +55,7 @@ class _Maker:
 
 class _Ids(_Maker):
     def of(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        ids = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids  # without offsets
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def both(self, a: bytes, b: bytes) -> bytes:
@@ -75,16 +75,23 @@ class _Spans(_Maker):
         return first, end, a[2] + b[2], a[3] + b[3]
 
 
+def _is_plain(text: str, words: list[str]) -> bool:
+    """Whether nothing but single blanks and line feeds stands between the words, and nothing around them."""
+    if text[0] in " \n" or text[-1] in " \n" or any(two in text for two in ("  ", "\n\n", " \n", "\n ")):
+        return False
+    return len("".join(words)) + text.count(" ") + text.count("\n") == len(text)
+
+
 class Encoder:
     """Ids and offsets of texts; a text with the string of a special token goes to the tokenizer whole, which knows it."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most_words: int = MOST_WORDS) -> None:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self.special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.ids_of, self.spans_of = _Ids(tokenizer), _Spans(tokenizer)
-        self.words = {kind: (_Words(kind, ""), _Words(kind, " ")) for kind in (self.ids_of, self.spans_of)}
+        self.words = {kind: (_Words(kind, "", most_words), _Words(kind, " ", most_words)) for kind in (self.ids_of, self.spans_of)}
 
     def _parts(self, text: str, kind: _Maker) -> list:
         """Values of the text's pieces in order."""
@@ -93,17 +100,15 @@ class Encoder:
         if any(token in text for token in self.special):
             return [kind.of(text)]
         bare, spaced = self.words[kind]
-        words, out, feed = text.split(), [], kind.end("\n")
-        at = 0
-        for line in text.split("\n"):
-            own = line.split(" ")
-            if own != words[at : at + len(own)]:  # other blanks than single ones of the two kinds
-                break
-            at += len(own)
-            out.append(bare[own[0]])
-            out.extend(map(spaced.__getitem__, own[1:]))
-            out.append(feed)
-        else:
+        words = text.split()
+        if _is_plain(text, words):
+            out, feed, at = [], kind.end("\n"), 0
+            for line in text.split("\n"):
+                end = at + line.count(" ") + 1
+                out.append(bare[words[at]])
+                out.extend(map(spaced.__getitem__, words[at + 1 : end]))
+                out.append(feed)
+                at = end
             out.pop()
             return out
         if _OTHER_BLANK.search(text):
@@ -125,9 +130,9 @@ class Encoder:
         return np.frombuffer(b"".join(first), "<i8") + shift, np.frombuffer(b"".join(end), "<i8") + shift
 
 
-def worker_encoder(path: str) -> Encoder:
+def worker_encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
     """The encoder of this worker process; functions travel by value, so their globals end with a task."""
     known = sys.__dict__.setdefault("_docsettle_encoders", {})
-    if path not in known:
-        known[path] = Encoder(path)
-    return known[path]
+    if (path, most_words) not in known:
+        known[path, most_words] = Encoder(path, most_words)
+    return known[path, most_words]
