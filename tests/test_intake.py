@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from docsettle.operators import ledger
 from docsettle.operators.landing import read_table
-from docsettle.streaming import intake
+from docsettle.streaming import intake, repeats
 
 SCHEMA = "kind string, doc_url string, received_at timestamp_ntz"
 
@@ -129,3 +129,22 @@ def test_hot_document(spark, tmp_path):
     root = run(spark, tmp_path, flows(), hot + requests(("bill", "/d/2/", 3)))
     assert in_ledger(spark, root) == [("bill", 1, 0), ("bill", 2, 0)]
     assert read_table(spark, root, "received").where("document_id = 1").collect()[0]["received_at"].minute == 10
+
+
+def test_a_page_of_documents_is_one_group(spark, tmp_path):
+    """Neighbours share a group of the state, and each is decided for itself: new, known, rejected and open again."""
+    assert repeats.STATE.count("array") == 2
+
+    def bills(requests_, batch_id):
+        bad = requests_.where("document_id IN (-1, 63) AND minute(received_at) < 10")
+        rejects = bad.selectExpr("document_id", "CAST(NULL AS int) AS import_no", "'bad' AS reason")
+        return {"ledger": _ledger(requests_.join(bad, "document_id", "left_anti"), ledger.bill_ledger), "rejects": rejects}
+
+    ids = [-65, -64, -1, 0, 1, 62, 63, 64, 4_000_000_000_000]
+    first = requests(*(("bill", f"/d/{k}/", 5) for k in ids[:-2]), ("bill", "/d/1/", 3), ("bill", "/d/1/", 4))
+    root = run(spark, tmp_path, {"bill": bills}, first)
+    assert read_table(spark, root, "received").where("document_id = 1").collect()[0]["received_at"].minute == 3
+    run(spark, tmp_path, {"bill": bills}, requests(*(("bill", f"/d/{k}/", 20) for k in ids)))
+    assert in_ledger(spark, root) == [("bill", k, int(k in (-1, 63, 64, 4_000_000_000_000))) for k in ids]
+    again = [r["document_id"] for r in read_table(spark, root, "received").where("batch_id = 1").collect()]
+    assert sorted(again) == [-1, 63, 64, 4_000_000_000_000]  # known ones have not reached the batch
