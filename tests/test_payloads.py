@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsettle.operators import landing
-from docsettle.plans.payouts import settle_payloads
+from docsettle.plans.payouts import run_payouts, settle_payloads
 from docsettle.sources.config import platforms_from_json
 from docsettle.sources.payloads import REPEATED_KEYS, block_rows, payload_blocks, row_value, unreadable_payloads
 
@@ -123,3 +123,35 @@ def test_repeated_keys_in_any_session(spark, setting):
         assert spark.conf.get(REPEATED_KEYS) == setting
     finally:
         spark.conf.unset(REPEATED_KEYS)
+
+
+def test_a_run_builds_documents_and_payloads_once(spark):
+    """Names, faults, rows and ledger ask for both, and what they are made of may be dear."""
+    config = platforms_from_json(
+        """{"platforms": {"p": {"method": "libreoffice", "import_configs": [{"table_name": "t", "sheet": "S", "range": "A1:B"}],
+             "export_configs": [{"table_name": "t", "reader_configs": [
+                {"column_name": "TotalOrders", "expression": "count(`id`)"}]}]}}}"""
+    )
+    made = {name: spark.sparkContext.accumulator(0) for name in ("documents", "payloads")}
+
+    def counted(frame, name):
+        seen = made[name]
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return frame.mapInArrow(count, frame.schema)
+
+    documents = spark.createDataFrame([(1, "a.xlsx", [5]), (2, "b.xlsx", [5])], "document_id bigint, media_filename string, tags array<int>")
+    payloads = spark.createDataFrame(
+        [(1, 0, '[{"id": "a", "x": 1}, {"id": "b", "x": 2}]'), (2, 0, "junk")], "document_id bigint, import_no int, body string"
+    )
+    tags = spark.createDataFrame([(5, "p")], "id int, name string")
+    stamp = F.lit("2024-06-30 12:00:00").cast("timestamp_ntz")
+    result = run_payouts(counted(documents, "documents"), tags, config, None, counted(payloads, "payloads"), "Out", stamp)
+    assert [(r["document_id"], r["total_orders"]) for r in result.settlements.collect()] == [(1, 2)]
+    assert [r["document_id"] for r in result.ledger.collect()] == [1]
+    assert [(r["document_id"], r["reason"]) for r in result.rejects.collect()] == [(2, "unreadable payload")]
+    assert {name: seen.value for name, seen in made.items()} == {"documents": 2, "payloads": 2}
