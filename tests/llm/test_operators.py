@@ -233,6 +233,26 @@ def test_within():
         assert not lines.close_words(a, b, limit) or lines.within(a, b, limit)
 
 
+def test_lines_of_a_cell_are_compared_once(monkeypatch):
+    """Lines with the same marks, the same words in another order: each pair is aligned once, and where the least key is."""
+    rng = random.Random(3)
+    words = [f"{a}{b}x" for a in "abcdefgh" for b in "pqrst"]
+    forms = [" ".join(rng.sample(words, len(words))) for _ in range(6)]
+    asked = []
+    monkeypatch.setattr(lines, "within", lambda a, b, limit: asked.append(frozenset((a, b))))
+
+    def payload(cell, keys, form):
+        return cell + len(keys).to_bytes(2, "big") + b"".join(keys) + b"\0" * 16 + form.encode()
+
+    here, less = b"\0\0\0\2", b"\0\0\0\1"
+    links = lines.line_links(0.8)
+    assert links([payload(here, [here], x) for x in forms], None) == []
+    assert len(asked) == len(set(asked)) == 15
+    asked.clear()
+    some = [payload(here, [here, less] if k < 3 else [here], x) for k, x in enumerate(forms)]
+    assert links(some[:3], some) == [] and len(asked) == len(set(asked)) == 9  # but for those that meet in the lesser key's cell
+
+
 @pytest.mark.parametrize("weight", [8_000_000, 300])
 def test_line_dedup_as_the_query_asks(spark, weight):
     """Edit similarity alone decides: nothing else goes, and of the near lines nearly all meet."""
