@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -674,6 +675,60 @@ def test_classifier_in_a_script_beside_the_most_frequent_characters(spark):
     assert len(kept & {i for i in range(120) if i % 60 >= 40}) >= 30  # texts the model has not seen
 
 
+def _plain_kneser_ney(trusted, of):
+    """The probability of a symbol after the symbols before it, by the textbook; ``of``: a text's symbols."""
+    start = (0,) * (ngrams.ORDER - 1)
+    counts = Counter()
+    for text in trusted:
+        s = (*start, *of(text))
+        counts.update(s[i - ngrams.ORDER + 1 : i + 1] for i in range(ngrams.ORDER - 1, len(s)))
+    levels = []
+    for _ in range(ngrams.ORDER):
+        n = Counter(counts.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0.5
+        cut = [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) if n[k] and n[k + 1] else 0.5 * k for k in (1, 2, 3)]
+        total, lost = Counter(), Counter()
+        for gram, k in counts.items():
+            total[gram[:-1]] += k
+            lost[gram[:-1]] += cut[min(k, 3) - 1]
+        levels.insert(0, (counts, cut, total, lost))
+        counts = Counter(gram[1:] for gram in counts)
+
+    def probability(gram):
+        p = 1 / ngrams.SYMBOLS
+        for order, (counts, cut, total, lost) in enumerate(levels, 1):
+            own = gram[len(gram) - order :]
+            k = counts[own]
+            if total[own[:-1]]:
+                p = ((k - cut[min(k, 3) - 1]) / total[own[:-1]] if k else 0) + lost[own[:-1]] / total[own[:-1]] * p
+        return p
+
+    def perplexity(text):
+        s = (*start, *of(text))
+        grams = [s[i - ngrams.ORDER + 1 : i + 1] for i in range(ngrams.ORDER - 1, len(s))]
+        return np.exp(-sum(np.log(probability(gram)) for gram in grams) / len(text))
+
+    return perplexity
+
+
+def test_perplexities_of_groups_against_a_plain_model(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "GROUP_BYTES", 500)  # several groups, some in one task
+    monkeypatch.setattr(ngrams, "_AT_ONCE", 100)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices([*WORDS, "Zoë", "你好"], k=20)) for _ in range(40)] + ["xbcdy" * 9, "zbcdw" * 9]
+    others = ["xbcdy" * 4, "xbcdw" * 4, "qq", "\U0001f600 unseen", texts[0], texts[0], "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *others])], "i int, text string")
+    classes = ngrams.alphabet(frame)
+    held = spark.sparkContext.broadcast(classes)
+    orders = ngrams.kneser_ney(ngrams.ngram_counts(frame.where(f"i < {len(texts)}").select("text"), held))
+    got = [r[1] for r in sorted(ngrams.perplexities(frame, held, orders).collect(), key=lambda r: r[0])]
+    plain = _plain_kneser_ney(texts, lambda text: ngrams.symbols_of(text, classes).tolist())
+    assert got[-2:] == [None, None]
+    assert np.allclose(got[:-2], [plain(t) for t in [*texts, *others[:-2]]], rtol=1e-4)
+    assert got[len(texts) + 1] > 1.5 * got[len(texts)]  # what follows "bcd" is told by the symbol before it
+    assert all(parts[name].count() for parts in orders for name in ("own", "weights"))  # tables, whatever their size
+
+
 def test_cells_need_no_second_row(spark):
     frame = spark.createDataFrame([(b"c", b"n", b"p", 5)], "cell binary, node binary, payload binary, weight bigint")
     assert cells.cell_links(frame, jaccard.jaccard_links(90), 1).count() == 0
